@@ -2,4 +2,4 @@
 
 from .catalog import ORACLES, QUERIES  # noqa: F401
 from . import oracle  # noqa: F401
-from . import pose_plans  # noqa: F401
+from . import pose_plans, candidate_plans  # noqa: F401
