@@ -270,3 +270,24 @@ def status_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("event_type") == "error", "rejected").otherwise("excluded_fov").alias("status"),
         "ts", "event_id",
     )
+
+
+BORDER_SIDE = 100
+
+
+def border_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A 100 x 100 gray raster and an outside mask per supplier.
+
+    Black left of a column, above a row, or in a regular pattern; the outside
+    mask follows the border with an offset of up to two pixels.
+    """
+    n = BORDER_SIDE
+    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("plane_id"))
+    r, c = f"(i div {n})", f"(i % {n})"
+    edge = f"if(plane_id % 3 = 1, (plane_id * 11) % {n}, (plane_id * 7) % {n})"
+    at = f"if(plane_id % 3 = 1, {r}, {c})"
+    black = f"if(plane_id % 3 = 2, ({r} * 31 + {c} * 17 + plane_id * 13) % 10 < plane_id % 10, {at} < {edge})"
+    px = F.expr(f"transform(sequence(0, {n * n - 1}), i -> cast(if({black}, 0, 127) as smallint))")
+    out = F.expr(
+        f"transform(sequence(0, {n * n - 1}), i -> cast(if(plane_id % 4 <> 0 and {at} < {edge} + plane_id % 5 - 2, 1, 0) as smallint))")
+    return s.select("plane_id", F.lit(n).alias("h"), F.lit(n).alias("w"), px.alias("px"), out.alias("out"))
