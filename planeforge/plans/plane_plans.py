@@ -237,7 +237,7 @@ cte("b_vessel_edge", _edge_sql("(SELECT plane_id, row_, col_, n AS vessel, CAST(
 SELECT plane_id, vessel AS label, count(*) AS n FROM b_vessel_edge GROUP BY ALL""")
 def win04(spark, sf):
     c = colours(spark, sf)
-    px = F.array(*[F.struct(F.lit(n).alias("label"), F.size(F.filter("rgb", lambda v, n=n: v == PL.rgb(K.VESSEL_COLORS[n]))).cast("long").alias("n"))
+    px = F.array(*[F.struct(F.lit(n).alias("label"), PL._count_of("rgb", PL.rgb(K.VESSEL_COLORS[n])).cast("long").alias("n"))
                    for n in K.VESSEL_COLORS])
     return c.select("plane_id", F.inline(px)).filter("n > 0")
 
