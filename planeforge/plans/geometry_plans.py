@@ -17,12 +17,11 @@ CASE = ["case_id"]
 
 # --- centrelines ------------------------------------------------------------------
 cte("b_cum", """
-SELECT case_id, seq, x, y, z, coalesce(sum(step) OVER (PARTITION BY case_id ORDER BY seq), 0.0) AS cum, lead_x, lead_y, lead_z,
- coalesce(sum(step) OVER (PARTITION BY case_id ORDER BY seq), 0.0) + nstep AS nxt FROM (
+SELECT *, lead(cum) OVER (PARTITION BY case_id ORDER BY seq) AS nxt FROM (
+ SELECT case_id, seq, x, y, z, lead_x, lead_y, lead_z, sum(step) OVER (PARTITION BY case_id ORDER BY seq) AS cum FROM (
  SELECT *, coalesce(sqrt((x - lag(x) OVER w) ** 2 + (y - lag(y) OVER w) ** 2 + (z - lag(z) OVER w) ** 2), 0.0) AS step,
-  lead(x) OVER w AS lead_x, lead(y) OVER w AS lead_y, lead(z) OVER w AS lead_z,
-  sqrt((x - lead(x) OVER w) ** 2 + (y - lead(y) OVER w) ** 2 + (z - lead(z) OVER w) ** 2) AS nstep
- FROM b_line WINDOW w AS (PARTITION BY case_id ORDER BY seq))
+  lead(x) OVER w AS lead_x, lead(y) OVER w AS lead_y, lead(z) OVER w AS lead_z
+ FROM b_line WINDOW w AS (PARTITION BY case_id ORDER BY seq)))
 """)
 
 

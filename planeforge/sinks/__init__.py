@@ -1 +1 @@
-
+"""Writers: manifests, rasters, text exports."""
