@@ -220,9 +220,9 @@ def agg20(spark, sf):
 SELECT case_id, {", ".join(s6(f"(min({a}) + max({a})) / 2 - greatest(max(x) - min(x), max(y) - min(y), max(z) - min(z)) / 2", f"lo_{a}") + ", " + s6(f"(min({a}) + max({a})) / 2 + greatest(max(x) - min(x), max(y) - min(y), max(z) - min(z)) / 2", f"hi_{a}") for a in "xyz")}
 FROM b_point GROUP BY case_id""")
 def agg21(spark, sf):
-    g = B.points(spark, sf).groupBy("case_id").agg(*[c for a in "xyz" for c in (F.min(a).alias(f"m{a}"), F.max(a).alias(f"M{a}"))])
-    half = F.greatest(*[F.col(f"M{a}") - F.col(f"m{a}") for a in "xyz"]) / 2
-    mid = {a: (F.col(f"m{a}") + F.col(f"M{a}")) / 2 for a in "xyz"}
+    g = B.points(spark, sf).groupBy("case_id").agg(*[c for a in "xyz" for c in (F.min(a).alias(f"lo{a}"), F.max(a).alias(f"hi{a}"))])
+    half = F.greatest(*[F.col(f"hi{a}") - F.col(f"lo{a}") for a in "xyz"]) / 2
+    mid = {a: (F.col(f"lo{a}") + F.col(f"hi{a}")) / 2 for a in "xyz"}
     return g.select("case_id", *[c for a in "xyz" for c in (r6(mid[a] - half).alias(f"lo_{a}"), r6(mid[a] + half).alias(f"hi_{a}"))])
 
 

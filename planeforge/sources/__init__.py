@@ -1 +1 @@
-
+"""Readers: tables, bridges, mesh, volume, text and registry files."""
