@@ -115,11 +115,11 @@ def src03(spark, sf):
 @query("src04_series_selection", """
 WITH f AS (SELECT o_custkey AS folder, 'uid-' || (o_orderkey % 3) AS uid, count(*) AS n FROM orders WHERE o_custkey % 4 <> 3 OR o_orderkey % 3 = 0 GROUP BY ALL),
  d AS (SELECT c_custkey AS folder, CASE WHEN c_custkey % 2 = 0 THEN 'uid-1' END AS want FROM customer),
- s AS (SELECT folder, count(*) AS ns, min(uid) AS only FROM f GROUP BY folder)
+ s AS (SELECT folder, count(*) AS ns, min(uid) AS sole FROM f GROUP BY folder)
 SELECT d.folder, CASE WHEN ns IS NULL THEN 'no_series' WHEN want IS NULL AND ns <> 1 THEN 'several_series' WHEN want IS NOT NULL AND f.uid IS NULL THEN 'unknown_series' ELSE 'ok' END AS verdict,
- CASE WHEN ns IS NULL OR (want IS NULL AND ns <> 1) OR (want IS NOT NULL AND f.uid IS NULL) THEN NULL ELSE coalesce(want, only) END AS series_uid,
+ CASE WHEN ns IS NULL OR (want IS NULL AND ns <> 1) OR (want IS NOT NULL AND f.uid IS NULL) THEN NULL ELSE coalesce(want, sole) END AS series_uid,
  CASE WHEN ns IS NULL OR (want IS NULL AND ns <> 1) OR (want IS NOT NULL AND f.uid IS NULL) THEN NULL ELSE f.n END AS n_files
-FROM d LEFT JOIN s USING (folder) LEFT JOIN f ON f.folder = d.folder AND f.uid = coalesce(want, only)""")
+FROM d LEFT JOIN s USING (folder) LEFT JOIN f ON f.folder = d.folder AND f.uid = coalesce(want, sole)""")
 def src04(spark, sf):
     o = table(spark, sf, "orders").filter("o_custkey % 4 <> 3 or o_orderkey % 3 = 0").select(
         F.col("o_custkey").alias("folder"), F.concat(F.lit("uid-"), (F.col("o_orderkey") % 3).cast("string")).alias("series_uid"))
@@ -288,11 +288,16 @@ _RGB = "CASE organ " + " ".join(f"WHEN '{n}' THEN '{' '.join(map(str, c))}'" for
 _OID = "list_position(['stomach','liver','pancreas','duodenum','esophagus'], organ) - 1"
 
 
+_CORNER = "unnest([" + ", ".join(f"printf('%.9f %.9f %.9f', v{i}x + 0.0, v{i}y + 0.0, v{i}z + 0.0)" for i in range(1, 5)) + "])"
+
+
 @query("snk07_base_plane_export", f"""
 WITH r AS (SELECT *, row_number() OVER (ORDER BY {_OID}, case_id, point_index) - 1 AS i FROM b_base)
 SELECT 'points' AS part, count(*) AS n, CAST(sum(CAST(('0x' || substr(sha256(printf('%.9f %.9f %.9f %.9f %.9f %.9f', x + 0.0, y + 0.0, z + 0.0, nx + 0.0, ny + 0.0, nz + 0.0) || ' ' || {_RGB} || ' ' || ({_OID})), 1, 8)) AS BIGINT)) AS BIGINT) AS digest FROM r
-UNION ALL SELECT 'edges', count(*), CAST(sum(CAST(('0x' || substr(sha256(CAST(i * 4 + a AS VARCHAR) || ' ' || (i * 4 + (a + 1) % 4) || ' ' || {_RGB} || ' ' || ({_OID})), 1, 8)) AS BIGINT)) AS BIGINT) FROM r, (SELECT unnest(generate_series(0, 3)) AS a)
-UNION ALL SELECT 'faces', count(*), CAST(sum(CAST(('0x' || substr(sha256('4 ' || (i * 4) || ' ' || (i * 4 + 1) || ' ' || (i * 4 + 2) || ' ' || (i * 4 + 3) || ' ' || {_RGB} || ' ' || ({_OID})), 1, 8)) AS BIGINT)) AS BIGINT) FROM r""")
+UNION ALL SELECT 'edges', count(*), CAST(sum(CAST(('0x' || substr(sha256(l), 1, 8)) AS BIGINT)) AS BIGINT) FROM (SELECT {_CORNER} AS l FROM r UNION ALL
+ SELECT CAST(i * 4 + a AS VARCHAR) || ' ' || (i * 4 + (a + 1) % 4) || ' ' || {_RGB} || ' ' || ({_OID}) FROM r, (SELECT unnest(generate_series(0, 3)) AS a))
+UNION ALL SELECT 'faces', count(*), CAST(sum(CAST(('0x' || substr(sha256(l), 1, 8)) AS BIGINT)) AS BIGINT) FROM (SELECT {_CORNER} AS l FROM r UNION ALL
+ SELECT '4 ' || (i * 4) || ' ' || (i * 4 + 1) || ' ' || (i * 4 + 2) || ' ' || (i * 4 + 3) || ' ' || {_RGB} || ' ' || ({_OID}) FROM r)""")
 def snk07(spark, sf):
     from ..sinks.base_planes import export
 

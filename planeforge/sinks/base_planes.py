@@ -44,15 +44,17 @@ def export(planes: DataFrame, path: str) -> None:
     _write(
         d.select(F.col("i").alias("ord"), F.concat_ws(" ", numbers("%.9f", "x", "y", "z", "nx", "ny", "nz"), "tail").alias("line")),
         header([f"element vertex {n}", *XYZ, "property float nx", "property float ny", "property float nz", *TAIL]), f"{path}/points")
-    edges = F.array(*[F.struct(F.lit(a).alias("a"), F.lit((a + 1) % 4).alias("b")) for a in range(4)])
-    e = d.select("i", "tail", F.inline(edges))
+    corners = F.array(*[F.struct(F.lit(i).alias("c"), numbers("%.9f", *(f"v{i + 1}{a}" for a in "xyz")).alias("line")) for i in range(4)])
+    v = d.select("i", F.inline(corners)).select((F.col("i") * 4 + F.col("c")).alias("ord"), "line")
+    ends = F.array(*[F.struct(F.lit(a).alias("a"), F.lit((a + 1) % 4).alias("b")) for a in range(4)])
+    e = d.select("i", "tail", F.inline(ends))
+    e = e.select((F.lit(4 * n) + F.col("i") * 4 + F.col("a")).alias("ord"), F.concat_ws(
+        " ", (F.col("i") * 4 + F.col("a")).cast("string"), (F.col("i") * 4 + F.col("b")).cast("string"), "tail").alias("line"))
     _write(
-        e.select((F.col("i") * 4 + F.col("a")).alias("ord"), F.concat_ws(
-            " ", (F.col("i") * 4 + F.col("a")).cast("string"), (F.col("i") * 4 + F.col("b")).cast("string"), "tail").alias("line")),
+        v.unionByName(e),
         header([f"element vertex {4 * n}", *XYZ, f"element edge {4 * n}", "property int vertex1", "property int vertex2", *TAIL]), f"{path}/edges")
+    f = d.select((F.lit(4 * n) + F.col("i")).alias("ord"), F.concat_ws(
+        " ", F.lit("4"), *[(F.col("i") * 4 + j).cast("string") for j in range(4)], "tail").alias("line"))
     _write(
-        d.select(F.col("i").alias("ord"), F.concat_ws(" ", F.lit("4"), *[(F.col("i") * 4 + j).cast("string") for j in range(4)], "tail").alias("line")),
+        v.unionByName(f),
         header([f"element vertex {4 * n}", *XYZ, f"element face {n}", "property list uchar int vertex_indices", *TAIL]), f"{path}/faces")
-    corners = F.array(*[F.struct(F.lit(i).alias("c"), numbers("%.9f", *(f"v{i}{a}" for a in "xyz")).alias("line")) for i in range(1, 5)])
-    v = d.select("i", F.inline(corners))
-    _write(v.select((F.col("i") * 4 + F.col("c")).alias("ord"), "line"), [], f"{path}/corners")

@@ -1 +1 @@
-
+"""Manifest ingest and resume with Structured Streaming."""
