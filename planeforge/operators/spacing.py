@@ -114,7 +114,7 @@ def _pick(pdf: pd.DataFrame) -> pd.DataFrame:
     first = int(pdf["first"].iloc[0])
     need, have = int(pdf["need"].iloc[0]), int(pdf["have"].iloc[0])
     spacing = float(pdf["spacing"].iloc[0])
-    whole = len(pdf) < BATCH
+    whole = len(pdf) < int(pdf["batch"].iloc[0])
     last_d, last_o = d[-1], o[-1]
     order: list[int] = []
     while have + len(order) < need:
@@ -140,7 +140,7 @@ def _small_groups(base: DataFrame, keys: list[str], rules: DataFrame, floor_mm:
     """Groups known to hold fewer rows than one batch are finished in one pass."""
     rows = base.join(rules.select(*keys, "need", "k"), keys).select(
         *keys, "ord", *XYZ, F.lit(float("inf")).alias("d"), F.col("need").cast("long"),
-        F.lit(0).cast("long").alias("have"), F.lit(floor_mm).alias("spacing"), F.col("k").alias("first"))
+        F.lit(0).cast("long").alias("have"), F.lit(floor_mm).alias("spacing"), F.col("k").alias("first"), F.lit(BATCH).alias("batch"))
     schema = rows.select(*keys, "ord", *XYZ, F.lit(0).cast("long").alias("step")).schema
     out = rows.groupBy(*keys).applyInPandas(lambda pdf: _pick(pdf)[cols], schema)
     return materialize(out, "fps-small")
@@ -193,7 +193,7 @@ def farthest_points(cands: DataFrame, keys: list[str], rules: DataFrame, spacing
         top = W.partitionBy(*keys).orderBy(F.col("d").desc(), "ord")
         batch = left.withColumn("rn", F.row_number().over(top)).filter(F.col("rn") <= BATCH).select(
             *keys, "ord", *XYZ, "d", F.col("need").cast("long"), (F.col("last") + 1).alias("have"),
-            F.lit(floor_mm).alias("spacing"), F.lit(-1).cast("long").alias("first"))
+            F.lit(floor_mm).alias("spacing"), F.lit(-1).cast("long").alias("first"), F.lit(BATCH).alias("batch"))
         new = materialize(
             batch.groupBy(*keys).applyInPandas(
                 lambda pdf: _pick(pdf)[cols], new.select(*cols).schema), "fps-step")

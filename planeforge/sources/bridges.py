@@ -268,7 +268,7 @@ def status_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                  .cast("string")).alias("slice_id"),
         F.when(F.col("event_type") == "click", "gallery").when(F.col("event_type") == "view", "unindexed")
         .when(F.col("event_type") == "error", "rejected").otherwise("excluded_fov").alias("status"),
-        "ts", "event_id",
+        F.col("ts").cast("timestamp").alias("ts"), "event_id",
     )
 
 
