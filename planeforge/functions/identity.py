@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..contract import POSE_ORGAN_ORDER, SAMPLING_ORGANS
 
@@ -32,23 +32,28 @@ def pose_id(organ: Column, index: Column, roll: Column, pitch: Column, yaw: Colu
 def _angle(token: Column) -> Column:
     n = F.substring(token, 2, 3).try_cast("int")
     head = F.substring(token, 1, 1)
-    return (
-        F.when(head == "m", -n).when(head == "p", n).when(n == 0, F.lit(0))
-    )
+    return F.when(head == "m", -n).when(head == "p", n).when(n == 0, F.lit(0))
+
 
+PARTS = ("organ", "point_index", "roll", "pitch", "yaw")
 
-def decode_pose_id(text: Column) -> dict[str, Column]:
-    """Parts of an identifier; all null unless it encodes back to itself."""
 
-    def part(i):
-        return F.regexp_extract(text, POSE_ID_PATTERN, i)
+def with_decoded(df: DataFrame, text: str, prefix: str = "") -> DataFrame:
+    """Add the parts of an identifier; all null unless it encodes back to itself.
 
-    matched = text.rlike(POSE_ID_PATTERN)
-    organ, index = part(1), part(2).try_cast("int")
-    roll, pitch, yaw = (_angle(part(i)) for i in (3, 4, 5))
-    ok = matched & (pose_id(organ, index, roll, pitch, yaw) == text)
-    names = ("organ", "point_index", "roll", "pitch", "yaw")
-    return {n: F.when(ok, c) for n, c in zip(names, (organ, index, roll, pitch, yaw))}
+    Split, read, and check are three projections: each small, the text is
+    taken apart once, and the pattern is matched once.
+    """
+    p = F.split(F.when(F.col(text).rlike(POSE_ID_PATTERN), F.col(text)), "-")
+    df = df.withColumn("__p", p)
+    raw = [F.try_element_at("__p", F.lit(i)) for i in range(1, 6)]
+    df = df.withColumns({
+        "__organ": raw[0], "__point_index": raw[1].try_cast("int"),
+        **{f"__{n}": _angle(F.substring(c, 2, 4)) for n, c in zip(("roll", "pitch", "yaw"), raw[2:])}})
+    same = pose_id(*(F.col(f"__{n}") for n in PARTS)) == F.col(text)
+    df = df.withColumn("__ok", F.coalesce(same, F.lit(False)))
+    return df.withColumns({f"{prefix}{n}": F.when(F.col("__ok"), F.col(f"__{n}")) for n in PARTS}).drop(
+        "__p", "__ok", *[f"__{n}" for n in PARTS])
 
 
 def organ_rank(organ: Column) -> Column:

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.identity import decode_pose_id, pose_id, source_priority
-from ..functions.linalg import cross, dot, inverse3, norm, r6, sub, vec
+from ..functions.identity import source_priority, with_decoded
+from ..functions.linalg import dot, r6, vec
 from ..operators import poses as P
 from ..session import stage
 from ..sources import bridges as B
@@ -153,8 +153,7 @@ def prj12(spark, sf):
         F.col("record_id") % 3 == 1, F.regexp_replace("slice_id", "-r[mpz]", "-rq")
     ).otherwise(F.regexp_replace("slice_id", "-y.*$", "-ym000"))
     m = m.withColumn("t", F.when(F.col("record_id") % 5 == 0, broken).otherwise(F.col("slice_id")))
-    d = decode_pose_id(F.col("t"))
-    return m.select("record_id", *[c.alias(n) for n, c in d.items()])
+    return with_decoded(m.select("record_id", "t"), "t").drop("t")
 
 
 @query("prj13_yaw_policy", """

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.identity import pose_id
+from ..session import width
 from .tables import table
 
 AORTA_LIMIT = 20.0
@@ -205,10 +206,20 @@ LABEL_SIDE = 20
 GRAY_SIDE = 32
 
 
+def _plane_ids(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """Raster numbers dealt over all tasks before the rasters are built.
+
+    Only the numbers are exchanged; a small table would otherwise build all
+    of its rasters in the task that reads its single file.
+    """
+    ids = table(spark, sf_dir, name).select(F.col(key).alias("plane_id"))
+    return ids.repartition(width(spark), "plane_id")
+
+
 def label_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A 20 x 20 label raster per order, packed row by row."""
     side = LABEL_SIDE
-    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("plane_id"))
+    o = _plane_ids(spark, sf_dir, "orders", "o_orderkey")
     px = F.expr(
         f"transform(sequence(0, {side * side - 1}), i -> cast((plane_id * 31 + "
         f"((i div {side}) div 4) * 7 + ((i % {side}) div 4) * 13) % 38 as smallint))"
@@ -219,7 +230,7 @@ def label_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gray_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A 32 x 32 gray raster per order, black left of a moving border."""
     side = GRAY_SIDE
-    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("plane_id"))
+    o = _plane_ids(spark, sf_dir, "orders", "o_orderkey")
     px = F.expr(
         f"transform(sequence(0, {side * side - 1}), "
         f"i -> cast(if(i % {side} < plane_id % {side}, 0, 127) as smallint))"
@@ -282,7 +293,7 @@ def border_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     mask follows the border with an offset of up to two pixels.
     """
     n = BORDER_SIDE
-    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("plane_id"))
+    s = _plane_ids(spark, sf_dir, "supplier", "s_suppkey")
     r, c = f"(i div {n})", f"(i % {n})"
     edge = f"if(plane_id % 3 = 1, (plane_id * 11) % {n}, (plane_id * 7) % {n})"
     at = f"if(plane_id % 3 = 1, {r}, {c})"

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from planeforge import contract as K
 from planeforge.functions.angles import angle_grid
-from planeforge.functions.identity import decode_pose_id, pose_id
+from planeforge.functions.identity import pose_id, with_decoded
 from planeforge.operators import candidates as C, centerline as CL, dedup as D, poses as P, rays as R, spacing as S
 from planeforge.sources import bridges as B
 
@@ -79,7 +79,7 @@ def test_pose_id_round_trip(spark):
     good = ["liver-000012-rm045-pz000-yp005", "stomach-000000-rz000-pz000-yz000"]
     bad = ["liver-000012-rm000-pz000-yp005", "liver-12-rz000-pz000-yz000", "lung-000012-rz000-pz000-yz000", "liver-000012-rz005-pz000-yz000"]
     d = spark.createDataFrame([(t,) for t in good + bad], "t string")
-    got = {r["t"]: r for r in d.select("t", *[c.alias(n) for n, c in decode_pose_id(F.col("t")).items()]).collect()}
+    got = {r["t"]: r for r in with_decoded(d, "t").collect()}
     assert (got[good[0]]["roll"], got[good[0]]["pitch"], got[good[0]]["yaw"]) == (-45, 0, 5)
     assert all(got[b]["organ"] is None for b in bad)
     r = spark.range(1).select(pose_id(F.lit("liver"), F.lit(1234567), F.lit(-5), F.lit(0), F.lit(30)).alias("i")).first()
