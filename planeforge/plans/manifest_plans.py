@@ -414,7 +414,10 @@ def audit_geometry(rows, frames_df):
     from ..functions.identity import with_decoded
     from ..functions.linalg import add, scale, vec
 
-    r = with_decoded(rows.drop(*POSE), "slice_id")
+    # Keys that cannot be null spare the join its null filters, which would be
+    # pushed down into the parsing and repeat all of it once per key.
+    r = with_decoded(rows.drop(*POSE), "slice_id").withColumns({
+        "organ": F.coalesce("organ", F.lit("")), **{c: F.coalesce(c, F.lit(-999)) for c in POSE[1:]}})
     base = frames_df.select("case_id", "organ", "point_index", "yaw_policy", "x", "y", "z", *[F.col(c).alias(f"f_{c}") for c in P.AXES])
     grid = angle_grid(rows.sparkSession).drop("ang_ord")
     j = r.join(base, ["case_id", "organ", "point_index"]).join(F.broadcast(grid), ["yaw_policy", "roll", "pitch", "yaw"])

@@ -21,6 +21,9 @@ def build_session(app: str = "planeforge", cores: str = "8", shuffle: int = 8) -
         .config("spark.driver.memory", "20g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Methods above 8000 bytes are never compiled by the JVM; smaller
+        # per-expression methods are several times faster than such a one.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

@@ -220,10 +220,10 @@ def label_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A 20 x 20 label raster per order, packed row by row."""
     side = LABEL_SIDE
     o = _plane_ids(spark, sf_dir, "orders", "o_orderkey")
-    px = F.expr(
-        f"transform(sequence(0, {side * side - 1}), i -> cast((plane_id * 31 + "
-        f"((i div {side}) div 4) * 7 + ((i % {side}) div 4) * 13) % 38 as smallint))"
-    )
+    # The part that does not depend on the raster is a constant array.
+    offset = F.array(*[F.lit((i // side // 4) * 7 + (i % side // 4) * 13) for i in range(side * side)])
+    o = o.withColumn("b", ((F.col("plane_id") * 31) % 38).cast("int"))
+    px = F.transform(offset, lambda c: ((c + F.col("b")) % 38).cast("smallint"))
     return o.select("plane_id", F.lit(side).alias("h"), F.lit(side).alias("w"), px.alias("px"))
 
 
