@@ -5,15 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import contract as K
-from ..functions.digest import canonical
-from ..functions.linalg import norm, r6, vec
+from ..functions.linalg import norm, vec
 from ..operators import audit as A, manifest as MF, poses as P, spacing as S
-from ..session import materialize, stage, stage_path
+from ..session import materialize, stage_path
 from ..sources import bridges as B
 from ..sources.tables import table
 from . import manifest_plans as MP
 from .catalog import cte, query
-from .oracle import lst, r6 as s6
 from .pose_plans import all_poses, frames
 
 

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from .. import contract as K
 from ..functions.digest import canonical, multiset_digest
 from ..functions.linalg import r6
-from ..operators import candidates as C, dedup as D, manifest as MF, poses as P
-from ..session import materialize, stage
+from ..operators import dedup as D, manifest as MF, poses as P
+from ..session import stage
 from ..sources import bridges as B
 from ..sources.tables import table
 from .catalog import cte, query

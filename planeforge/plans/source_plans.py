@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
 from .. import contract as K
 from ..functions.linalg import r6
 from ..operators import manifest as MF, poses as P
-from ..session import materialize, stage_path
+from ..session import stage_path
 from ..sinks import manifest as SM, ply as PLY, rasters as SR
 from ..sources import bridges as B, documents as DOC, files as FI
 from ..sources.tables import table
-from .catalog import cte, query
+from .catalog import query
 from .oracle import pose_id_sql, r6 as s6
-from .pose_plans import all_poses, base, frames
+from .pose_plans import base, frames
 
 
 def mesh_files(spark, sf):
@@ -248,9 +247,6 @@ def snk04(spark, sf):
     return lines.join(back, "organ").filter("m > 10").select("organ", "ord", "line")
 
 
-_SQ = " || ".join(f"printf('%.6f %.6f %.6f', v{i}x + 0.0, v{i}y + 0.0, v{i}z + 0.0)" for i in (1,))
-
-
 @query("snk05_square_ply", f"""
 SELECT organ, count(*) AS n_lines, CAST(sum(CAST(('0x' || substr(sha256(l), 1, 8)) AS BIGINT)) AS BIGINT) AS digest FROM (
  SELECT organ, unnest([{", ".join(f"printf('%.6f %.6f %.6f', v{i}x + 0.0, v{i}y + 0.0, v{i}z + 0.0)" for i in range(1, 5))}]) AS l FROM b_base) GROUP BY organ""")

@@ -137,19 +137,17 @@ def select_series(files: DataFrame, wanted: DataFrame) -> DataFrame:
     """The one series to read per folder, or why there is none.
 
     ``files`` has folder and series_uid per file, ``wanted`` folder and uid
-    (null where none was named). Files are counted per series first, so a
-    large folder is small before it is gathered.
+    (null where none was named). Files are counted per series map side; a
+    folder of any size is then judged from its number of series.
     """
-    per = files.groupBy("folder", "series_uid").agg(F.count(F.lit(1)).alias("n"))
-    one = per.groupBy("folder").agg(
-        F.count("series_uid").alias("n_series"), F.max("series_uid").alias("only"),
-        F.map_from_entries(F.collect_list(F.struct("series_uid", "n"))).alias("sizes"))
-    j = wanted.join(one, "folder", "left")
-    uid = F.when(F.col("uid").isNotNull(), F.col("uid")).otherwise(F.col("only"))
+    per = files.groupBy("folder", "series_uid").agg(F.count(F.lit(1)).alias("n_files"))
+    one = per.groupBy("folder").agg(F.count("series_uid").alias("n_series"), F.max("series_uid").alias("only"))
+    j = wanted.join(one, "folder", "left").withColumn("pick", F.coalesce("uid", "only"))
+    j = j.join(per.withColumnRenamed("series_uid", "pick"), ["folder", "pick"], "left")
     verdict = (
         F.when(F.col("n_series").isNull(), "no_series")
         .when(F.col("uid").isNull() & (F.col("n_series") != 1), "several_series")
-        .when(F.col("uid").isNotNull() & ~F.map_contains_key("sizes", F.col("uid")), "unknown_series").otherwise("ok"))
+        .when(F.col("n_files").isNull(), "unknown_series").otherwise("ok"))
+    ok = F.col("verdict") == "ok"
     return j.withColumn("verdict", verdict).select(
-        "folder", "verdict", F.when(F.col("verdict") == "ok", uid).alias("series_uid"),
-        F.when(F.col("verdict") == "ok", F.element_at("sizes", uid)).alias("n_files"))
+        "folder", "verdict", F.when(ok, F.col("pick")).alias("series_uid"), F.when(ok, F.col("n_files")).alias("n_files"))

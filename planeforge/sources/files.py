@@ -8,7 +8,6 @@ Spark then opens into vertex, face, slice or point rows.
 from __future__ import annotations
 
 import gzip
-import io
 import struct
 import zlib
 
