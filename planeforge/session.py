@@ -2,12 +2,30 @@
 
 from __future__ import annotations
 
+import pathlib
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SHARED: dict[str, str] = {}
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once in an application; their workers import it from there."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = pathlib.Path(__file__).parent
+    archive = pathlib.Path(tempfile.mkdtemp(prefix="spark-", dir="/tmp")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(package.rglob("*")):
+            if path.suffix in (".py", ".json"):
+                out.write(path, path.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(app)
 
 
 def build_session(app: str = "planeforge", cores: str = "8", shuffle: int = 8) -> SparkSession:
