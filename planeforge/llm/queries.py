@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe_trie import op5_bpe_trie
+from .licenses import OP10_SQL, op10_license_scan
 from .packing import op2_best_fit_packing
+from .quality_rules import OP3_SQL, op3_quality_rules
 from .secrets import op4_secret_scan
+from .simhash import op7_simhash
 from .token_counts import op8_token_counts
 from .token_files import op6_token_files
 
@@ -16,11 +19,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op2_best_fit_packing,
+        op3_quality_rules,
         op4_secret_scan,
         op5_bpe_trie,
         op6_token_files,
+        op7_simhash,
         op8_token_counts,
+        op10_license_scan,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_quality_rules": OP3_SQL, "op10_license_scan": OP10_SQL}
