@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe_trie import op5_bpe_trie
+from .cotraining import op1_cotraining
 from .licenses import OP10_SQL, op10_license_scan
+from .neighbours import op9_neighbours
 from .packing import op2_best_fit_packing
 from .quality_rules import OP3_SQL, op3_quality_rules
 from .secrets import op4_secret_scan
@@ -18,6 +20,7 @@ from .token_files import op6_token_files
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_cotraining,
         op2_best_fit_packing,
         op3_quality_rules,
         op4_secret_scan,
@@ -25,6 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_token_files,
         op7_simhash,
         op8_token_counts,
+        op9_neighbours,
         op10_license_scan,
     )
 }

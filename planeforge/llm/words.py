@@ -17,6 +17,8 @@ GENERATION = 600_000
 
 #: Two white-space characters in a row, or white space at an end: such texts take the general cut.
 _UNEVEN = re.compile(r"\s\s|^\s|\s$")
+#: ASCII marks, but for those that may begin or end a special token or a contraction.
+_MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
 #: A space before anything but white space begins a pre-token of the byte-level tokenizer.
 _BEFORE_WORD = re.compile(r" (?=\S)")
 
@@ -82,9 +84,10 @@ class Encoder:
     def _ids(self, chunk: str) -> bytes:
         if not chunk:
             return b""
-        if len(chunk) > 1 and chunk[-1] in ".," and chunk[-2] < "\u0250" and chunk[-2].isalpha():
-            # A letter and a full stop or comma never share a pre-token.
-            return self.memory[chunk[:-1]] + self.memory[chunk[-1]]
+        body = chunk.rstrip(_MARKS)
+        if body and len(body) < len(chunk) and body[-1] < "\u0250" and body[-1].isalpha():
+            # A letter and a mark after it never share a pre-token.
+            return self.memory[body] + self.memory[chunk[len(body) :]]
         if self.words and chunk.isascii() and "<" not in chunk and chunk != (lower := chunk.lower()):
             return self.memory[lower]
         return np.asarray(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u2").tobytes()
