@@ -27,7 +27,9 @@ from . import words
 from .common import column, documents, small_batches
 
 #: Characters of text that are worked on together.
-PIECE = 2_000_000
+PIECE = 4_000_000
+#: Chunks, and words, kept in each of two generations in a Python worker.
+GENERATION = 250_000
 _SPACE = re.compile(r"\s")
 
 
@@ -59,9 +61,10 @@ class Vocabulary:
         self.end = model.get("end_of_word_suffix") or ""
         self.ids: dict[str, int] = model["vocab"]
         self.rank = {tuple(m if isinstance(m, list) else m.split(" ")): i for i, m in enumerate(model["merges"])}
-        self.longest = max(map(len, self.ids))
+        self.packed = {t: i.to_bytes(2, "little") for t, i in self.ids.items()}
+        self.tails = {t[k:] for t in self.ids for k in range(len(t))}
         self.special = [x["content"] for x in file["added_tokens"]]
-        self.apart = words.Memory(self._apart, 500_000)
+        self.apart = words.Memory(self._apart, 300_000)
         self.tokens = [b""] * (1 + max([*self.ids.values(), *(x["id"] for x in file["added_tokens"])]))
         for token, i in [*self.ids.items(), *((x["content"], x["id"]) for x in file["added_tokens"])]:
             self.tokens[i] = token.encode()
@@ -92,18 +95,22 @@ class Vocabulary:
         size = len(trie.children)
         last: list[str] = [""] * size  # last token of the prefix
         done: list[bytes] = [b""] * size  # ids of the prefix
-        known, apart, longest, ids = self.ids, self.apart, self.longest, self.ids
+        known, apart, tails = self.packed, self.apart, self.tails
         out: dict[str, bytes] = {}
         path: list[int] = [0]
         todo: list[tuple[int, int, str]] = [(0, 0, "")]
 
         def state(prefix: str, mark: str, depth: int) -> tuple[str, bytes]:
-            for k in range(min(depth, longest), 0, -1):
-                token = prefix[depth - k :] + mark
+            # The text's ends that are tokens, while they are ends of tokens at all; the longest that fits is the one.
+            fitting, k = [], 1
+            while k <= depth and (token := prefix[depth - k :] + mark) in tails:
                 if token in known:
-                    start = path[depth - k]
-                    if start == 0 or apart[last[start], token]:
-                        return token, done[start] + ids[token].to_bytes(2, "little")
+                    fitting.append((k, token))
+                k += 1
+            for k, token in reversed(fitting):
+                start = path[depth - k]
+                if start == 0 or apart[last[start], token]:
+                    return token, done[start] + known[token]
             raise ValueError(f"no token ends {prefix!r}")
 
         while todo:
@@ -123,27 +130,53 @@ class TrieEncoder:
     """Ids of whole texts; cutting and normalising is the tokenizers library's, merging is the trie's."""
 
     def __init__(self, path: str) -> None:
+        from tokenizers import pre_tokenizers
+
         self.vocabulary = Vocabulary(path)
         self.tokenizer = words.load(path)
+        # The library's letters for the bytes that Latin letters beyond ASCII are made of.
+        letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        latin = "".join(map(chr, range(0x80, 0x100)))
+        self.letters = dict(zip(latin.encode(), letters.pre_tokenize_str(latin)[0][0], strict=True))
         self.chunks: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
+        self.old_chunks: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
+
+    @staticmethod
+    def _unknown(names: set[str], known: dict[str, bytes], old: dict[str, bytes]) -> list[str]:
+        """The names in neither generation; those of the older one become known again."""
+        missing = [x for x in names if x not in known]
+        known |= {x: old[x] for x in missing if x in old}
+        return [x for x in missing if x not in old]
 
     def learn(self, chunks: set[str]) -> None:
-        """Encodes the chunks that are not known yet; what is known is forgotten beyond its bound."""
-        for known in (self.chunks, self.words):
-            if len(known) > words.GENERATION:
-                known.clear()
+        """Encodes the chunks that are not known yet. Of what is known, the generation before the last is forgotten."""
+        if len(self.chunks) > GENERATION:
+            self.old_chunks, self.chunks = self.chunks, {}
+        if len(self.words) > GENERATION:
+            self.old_words, self.words = self.words, {}
         self.chunks[""] = b""
-        new = [c for c in chunks if c not in self.chunks]
+        new = self._unknown(chunks, self.chunks, self.old_chunks)
         odd = [c for c in new if _SPACE.search(c) or any(s in c for s in self.vocabulary.special)]
         for c in odd:
             self.chunks[c] = np.asarray(self.tokenizer.encode(c, add_special_tokens=False).ids, "<u2").tobytes()
-        plain = [c for c in new if c not in self.chunks]
-        parts = [self._words(plain[i : i + 2000]) for i in range(0, len(plain), 2000)]
-        distinct = {w for lists in parts for ws in lists for w in ws}
-        self.words |= self.vocabulary.encode({w for w in distinct if w not in self.words})
-        flat = (ws for lists in parts for ws in lists)
-        self.chunks |= {c: b"".join(map(self.words.__getitem__, ws)) for c, ws in zip(plain, flat, strict=True)}
+        cut = {c: ws for c in new if (ws := self._plain(c))}
+        rest = [c for c in new if c not in cut and c not in self.chunks]
+        for i in range(0, len(rest), 2000):
+            cut |= zip(rest[i : i + 2000], self._words(rest[i : i + 2000]), strict=True)
+        distinct = {w for ws in cut.values() for w in ws}
+        self.words |= self.vocabulary.encode(set(self._unknown(distinct, self.words, self.old_words)))
+        self.chunks |= {c: b"".join(map(self.words.__getitem__, ws)) for c, ws in cut.items()}
+
+    def _plain(self, chunk: str) -> list[str] | None:
+        """The words of a chunk of Latin letters and then marks, which normalising only puts in lower case."""
+        body = chunk.rstrip(words.MARKS)
+        if body and not (body.isalpha() and (body.isascii() or max(body) < "\u0100")):
+            return None
+        low = body.lower()
+        low = low if low.isascii() else low.encode().decode("latin-1").translate(self.letters)
+        return [x for x in (low, chunk[len(body) :]) if x]
 
     def _words(self, chunks: list[str]) -> list[list[str]]:
         """The words of each chunk. A space parts chunks: no rule of the tokenizer reaches across it."""

@@ -18,7 +18,7 @@ GENERATION = 600_000
 #: Two white-space characters in a row, or white space at an end: such texts take the general cut.
 _UNEVEN = re.compile(r"\s\s|^\s|\s$")
 #: ASCII marks, but for those that may begin or end a special token or a contraction.
-_MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
+MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
 #: A space before anything but white space begins a pre-token of the byte-level tokenizer.
 _BEFORE_WORD = re.compile(r" (?=\S)")
 
@@ -84,7 +84,7 @@ class Encoder:
     def _ids(self, chunk: str) -> bytes:
         if not chunk:
             return b""
-        body = chunk.rstrip(_MARKS)
+        body = chunk.rstrip(MARKS)
         if body and len(body) < len(chunk) and body[-1] < "\u0250" and body[-1].isalpha():
             # A letter and a mark after it never share a pre-token.
             return self.memory[body] + self.memory[chunk[len(body) :]]
