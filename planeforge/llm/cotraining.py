@@ -243,9 +243,9 @@ def scored(model: Model | None, text: Column, lang: Column, source: Column, n_ch
     return F.pandas_udf(run, "text_score double, meta_score double, score double")(*[c.cast(t) for c, t in kinds])
 
 
-def _score_column(docs: DataFrame, labels: DataFrame, c: dict[str, str]) -> Column:
+def _score_column(docs: DataFrame, labels: DataFrame, c: dict[str, str], known: DataFrame | None = None) -> Column:
     small_batches(docs.sparkSession)
-    return scored(train(docs, labels, c), *[column(docs, c[k]) for k in ("text", "lang", "source", "n_chars")])
+    return scored(train(docs, labels, c) if known is None else train(known, labels), *[column(docs, c[k]) for k in ("text", "lang", "source", "n_chars")])
 
 
 def classify(docs: DataFrame, labels: DataFrame, columns: dict[str, str] = COLUMNS) -> DataFrame:
@@ -254,10 +254,13 @@ def classify(docs: DataFrame, labels: DataFrame, columns: dict[str, str] = COLUM
     return out.select("doc_id", "s.*", (F.col("s")["score"] >= THRESHOLD).alias("kept"))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, columns: dict[str, str] = COLUMNS) -> DataFrame:
-    """The rows of ``docs`` that are kept, with their columns."""
+def keep_good(docs: DataFrame, labels: DataFrame, columns: dict[str, str] = COLUMNS, known: DataFrame | None = None) -> DataFrame:
+    """The rows of ``docs`` that are kept, with their columns. ``known``: other documents to learn from, if ``docs`` are
+
+    what an earlier filter left of them and hold hardly a bad one.
+    """
     s = free_name(docs, "score")
-    out = docs.withColumn(s, _score_column(docs, labels, columns))
+    out = docs.withColumn(s, _score_column(docs, labels, columns, known))
     return out.where(F.col(s)["score"] >= THRESHOLD).select(*[column(out, c) for c in docs.columns])
 
 

@@ -36,7 +36,7 @@ FENCES = {
     "word_length": (200, True),  # characters of 100 words
     "symbols": (300, False),  # in 1000 words
     "repeated": (300, False),  # words of 1000
-    "double_lines": (300, False),  # lines of 1000
+    "double_lines": (500, False),  # lines of 1000
 }
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
