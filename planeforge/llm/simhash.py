@@ -147,7 +147,7 @@ def links(fps: DataFrame, bits: int = BITS, crowd: int = CROWD) -> DataFrame:
     for size in (32, 16, 8):
         rows = _index(rows, size)
         sizes = materialize(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "shared-keys")
-        shared = materialize(rows.join(sizes, "key"), "shared-variants")
+        shared = materialize(rows.join(sizes.hint("merge"), "key"), "shared-variants")  # the same way at every size
         part = _compare(shared.where(F.col("n") <= crowd) if size > 8 else shared, bits)
         found = part if found is None else found.unionAll(part)
         rows = shared.where(F.col("n") > crowd).select("fp", "low", "key")
