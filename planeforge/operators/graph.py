@@ -102,13 +102,30 @@ def match_ends(ends: DataFrame, hints: DataFrame, keys: list[str], tolerance: fl
     return out.select(*keys, "role", F.col("b.node").alias("node"), F.col("b.d").alias("error_mm"), verdict.alias("verdict"))
 
 
+def path_verdicts(vox: DataFrame, ends: DataFrame, keys: list[str]) -> DataFrame:
+    """One verdict per case: may the path between ``ends`` (start, stop) be walked?
+
+    disconnected, cyclic, too_few_ends, no_match (an end is missing), same_end
+    or ok; the first that holds.
+    """
+    return tree_report(vox, keys).join(ends.select(*keys, "start", "stop"), keys, "left").select(
+        *keys,
+        F.when(F.col("n_components") > 1, "disconnected").when(~F.col("is_tree"), "cyclic").when(F.col("n_ends") < 2, "too_few_ends")
+        .when(F.col("start").isNull() | F.col("stop").isNull(), "no_match").when(F.col("start") == F.col("stop"), "same_end")
+        .otherwise("ok").alias("verdict"))
+
+
 def tree_path(vox: DataFrame, ends: DataFrame, keys: list[str]) -> DataFrame:
     """Ordered nodes between two ends of a tree, ``ends`` holding start, stop.
 
+    Cases that ``path_verdicts`` does not call ok (rings, several pieces, one
+    end for both) have no path and no rows; they cannot hold up the others.
     Leaves other than the two ends are peeled until only the path is left;
     the distance from the start then comes from pointer doubling, so a path
     of n nodes takes log n rounds.
     """
+    good = materialize(path_verdicts(vox, ends, keys).filter("verdict = 'ok'").select(*keys), "path-good")
+    vox, ends = vox.join(good, keys, "left_semi"), ends.join(good, keys, "left_semi")
     hold = materialize(ends.select(*keys, F.explode(F.array("start", "stop")).alias("node")), "path-ends")
     adj = materialize(adjacency(vox, keys), "path-adj")
     while True:
@@ -138,7 +155,12 @@ def _rank_path(adj: DataFrame, ends: DataFrame, keys: list[str]) -> DataFrame:
     cur = materialize(
         cur.select(*keys, "a", "b", F.col("b").alias("na"), F.col("c").alias("nb"), F.lit(1).cast("long").alias("steps"),
                    F.col("len").alias("dist"), F.col("b").alias("tail")), "rank")
+    # Doubling settles a path of n arcs in log2 n rounds; more would be a ring.
+    rounds = cur.count().bit_length() + 1
     while not cur.filter("nb is not null").isEmpty():
+        rounds -= 1
+        if rounds < 0:
+            raise ValueError("a path to be ranked holds a ring")
         ahead = cur.select(*keys, F.col("a").alias("na"), F.col("b").alias("nb"), F.col("na").alias("na2"), F.col("nb").alias("nb2"),
                            F.col("steps").alias("s2"), F.col("dist").alias("d2"), F.col("tail").alias("t2"))
         cur = materialize(
@@ -159,14 +181,16 @@ def _rank_path(adj: DataFrame, ends: DataFrame, keys: list[str]) -> DataFrame:
 def prune_spurs(vox: DataFrame, keys: list[str], pitch: float, limit: float) -> tuple[DataFrame, DataFrame]:
     """Drop the shortest terminal branch of every branched case until none is left.
 
-    Returns the voxels kept and one verdict per case: ok, no_removable_branch,
-    too_long or ambiguous. Branches of all cases are measured together: after
-    the branch points are taken out, each branch is a component.
+    Returns the voxels kept and one verdict per case: ok, disconnected,
+    no_removable_branch, too_long, ambiguous, or wrong_ends when what is left
+    is not a path with two ends (a ring). Branches of all cases are measured
+    together: after the branch points are taken out, each is a component.
     """
     live = materialize(with_node(vox).select(*keys, "z", "y", "x", "node"), "spur-live")
-    verdicts = None
+    pieces = tree_report(live.select(*keys, "z", "y", "x"), keys)
+    verdicts = materialize(pieces.filter("n_components > 1").select(*keys, F.lit("disconnected").alias("verdict")), "spur-pieces")
     pruned = None
-    active = live.select(*keys).distinct()
+    active = live.select(*keys).distinct().join(verdicts, keys, "left_anti")
     while True:
         part = live.join(active, keys, "left_semi")
         adj = materialize(adjacency(part, keys), "spur-adj")
@@ -196,7 +220,7 @@ def prune_spurs(vox: DataFrame, keys: list[str], pitch: float, limit: float) ->
             .when(F.abs(F.col("second") - F.col("b.length")) <= 1e-9, "ambiguous").otherwise("cut").alias("verdict"))
         call = materialize(call, "spur-call")
         failed = call.filter("verdict <> 'cut'").select(*keys, "verdict")
-        verdicts = failed if verdicts is None else verdicts.unionByName(failed)
+        verdicts = verdicts.unionByName(failed)
         cut = call.filter("verdict = 'cut'").select(*keys, "comp", "length")
         pruned = cut if pruned is None else pruned.unionByName(cut)
         active = materialize(cut.select(*keys), "spur-active")
@@ -205,10 +229,11 @@ def prune_spurs(vox: DataFrame, keys: list[str], pitch: float, limit: float) ->
         gone = cc.join(cut, [*keys, "comp"]).select(*keys, "node")
         live = materialize(live.join(gone, [*keys, "node"], "left_anti"), "spur-live")
     cases = live.select(*keys).distinct()
-    if verdicts is None:
-        return live, cases.withColumns({"verdict": F.lit("ok"), "n_pruned": F.lit(0).cast("long"), "pruned_mm": F.lit(0.0)})
+    ends = tree_report(live.select(*keys, "z", "y", "x"), keys).filter("n_ends <> 2").select(*keys, F.lit("wrong_ends").alias("last"))
+    out = cases.join(verdicts, keys, "left").join(ends, keys, "left").withColumn("verdict", F.coalesce("verdict", "last", F.lit("ok")))
+    if pruned is None:
+        return live, out.select(*keys, "verdict", F.lit(0).cast("long").alias("n_pruned"), F.lit(0.0).alias("pruned_mm"))
     cuts = pruned.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_pruned"), F.sum("length").alias("pruned_mm"))
-    out = cases.join(verdicts, keys, "left").join(cuts, keys, "left").select(
-        *keys, F.coalesce("verdict", F.lit("ok")).alias("verdict"), F.coalesce("n_pruned", F.lit(0)).alias("n_pruned"),
-        F.coalesce("pruned_mm", F.lit(0.0)).alias("pruned_mm"))
+    out = out.join(cuts, keys, "left").select(
+        *keys, "verdict", F.coalesce("n_pruned", F.lit(0)).alias("n_pruned"), F.coalesce("pruned_mm", F.lit(0.0)).alias("pruned_mm"))
     return live, out

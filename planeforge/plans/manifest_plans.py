@@ -346,29 +346,30 @@ def set07(spark, sf):
 
 # --- resume ------------------------------------------------------------------------------------
 POSE = ["organ", "point_index", "roll", "pitch", "yaw"]
-cte("b_done", "SELECT DISTINCT organ, point_index, roll, pitch, yaw FROM b_manifest")
+CASE_POSE = ["case_id", *POSE]  # what one case has finished is open in all others
+cte("b_done", "SELECT DISTINCT case_id, organ, point_index, roll, pitch, yaw FROM b_manifest")
 
 
 def done(spark, sf):
-    return B.manifest(spark, sf).select(*POSE[:1], F.col("point_index").cast("int").alias("point_index"), *POSE[2:]).distinct()
+    return B.manifest(spark, sf).select(*CASE_POSE[:2], F.col("point_index").cast("int").alias("point_index"), *CASE_POSE[3:]).distinct()
 
 
 @query("jn11_pending_poses", """
-SELECT organ, count(*) AS n FROM b_pose p WHERE NOT EXISTS (SELECT 1 FROM b_done d WHERE d.organ = p.organ AND d.point_index = p.point_index
+SELECT organ, count(*) AS n FROM b_pose p WHERE NOT EXISTS (SELECT 1 FROM b_done d WHERE d.case_id = p.case_id AND d.organ = p.organ AND d.point_index = p.point_index
  AND d.roll = p.roll AND d.pitch = p.pitch AND d.yaw = p.yaw) GROUP BY organ""")
 def jn11(spark, sf):
-    return MF.pending(all_poses(spark, sf).select(*POSE), done(spark, sf), POSE).groupBy("organ").agg(F.count(F.lit(1)).alias("n"))
+    return MF.pending(all_poses(spark, sf).select(*CASE_POSE), done(spark, sf), CASE_POSE).groupBy("organ").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("jn12_stale_ids", f"""
-SELECT {pose_id_sql()} AS slice_id FROM b_done d WHERE NOT EXISTS (SELECT 1 FROM b_pose p WHERE d.organ = p.organ AND d.point_index = p.point_index
- AND d.roll = p.roll AND d.pitch = p.pitch AND d.yaw = p.yaw) ORDER BY 1 LIMIT 10""")
+SELECT {pose_id_sql()} AS slice_id FROM b_done d WHERE NOT EXISTS (SELECT 1 FROM b_pose p WHERE d.case_id = p.case_id AND d.organ = p.organ AND d.point_index = p.point_index
+ AND d.roll = p.roll AND d.pitch = p.pitch AND d.yaw = p.yaw)""")
 def jn12(spark, sf):
-    """First ten stale identifiers, the part of the list a report shows."""
+    """All finished identifiers that no plan has any more."""
     from ..functions.identity import pose_id
 
-    s = MF.stale(all_poses(spark, sf).select(*POSE), done(spark, sf), POSE)
-    return s.select(pose_id(*(F.col(c) for c in POSE)).alias("slice_id")).orderBy("slice_id").limit(10)
+    s = MF.stale(all_poses(spark, sf).select(*CASE_POSE), done(spark, sf), CASE_POSE)
+    return s.select(pose_id(*(F.col(c) for c in POSE)).alias("slice_id"))
 
 
 @query("top07_control_sample", f"""

@@ -9,7 +9,7 @@ from ..functions.linalg import dot, r6, vec
 from ..operators import poses as P
 from ..session import stage
 from ..sources import bridges as B
-from .catalog import query
+from .catalog import cte, query
 from .oracle import pose_id_sql, r6 as s6
 
 
@@ -73,14 +73,20 @@ def prj02(spark, sf):
     return u.select("vec_id", *[r6(F.col(c)).alias(c) for c in ("ux", "uy", "uz")])
 
 
+cte("b_prj03_volume", "SELECT case_id, sx, sy, sz, ox + 10.0 * case_id AS ox, oy, oz FROM (SELECT DISTINCT case_id FROM b_point), (SELECT sx, sy, sz, ox, oy, oz FROM b_volume)")
+
+
 @query("prj03_world_to_index", f"""
 SELECT organ, point_index, {s6("(y - oy) / sx", "ix")}, {s6("-(x - ox) / sy", "iy")}, {s6("(z - oz) / sz", "iz")}
-FROM b_point, (SELECT sx, sy, sz, ox, oy, oz FROM b_volume)""")
+FROM b_point JOIN b_prj03_volume USING (case_id)""")
 def prj03(spark, sf):
     from ..operators.volumes import index_matrix, world_to_index
 
-    meta = index_matrix(B.volume_meta(spark, sf)).drop("case_id", "nx", "ny", "nz")
-    p = B.points(spark, sf).select("organ", "point_index", "x", "y", "z").crossJoin(F.broadcast(meta))
+    # The bridge has one volume; each case gets its own copy of it, moved by 10 mm a case.
+    cases = B.points(spark, sf).select("case_id").distinct()
+    one = B.volume_meta(spark, sf).drop("case_id").limit(1)
+    meta = index_matrix(cases.join(F.broadcast(one)).withColumn("ox", F.col("ox") + 10.0 * F.col("case_id"))).drop("nx", "ny", "nz")
+    p = B.points(spark, sf).select("case_id", "organ", "point_index", "x", "y", "z").join(meta, "case_id")
     ix, iy, iz = world_to_index(vec("x", "y", "z"))
     return p.select("organ", "point_index", r6(ix).alias("ix"), r6(iy).alias("iy"), r6(iz).alias("iz"))
 

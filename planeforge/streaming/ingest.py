@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -42,25 +44,38 @@ def watermarked_counts(stream: DataFrame, delay: str, window: str) -> DataFrame:
     )
 
 
+def _run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The name of the runs that share a checkpoint, written beside it once."""
+    path = f"{checkpoint.rstrip('/')}-run"
+    if not _present(spark, path):
+        spark.createDataFrame([(f"r{uuid.uuid4().hex}",)], "run string").coalesce(1).write.parquet(path)
+    return spark.read.parquet(path).first()["run"]
+
+
 def resume_run(spark: SparkSession, source: str, schema: StructType, manifest: str, checkpoint: str, process=None) -> None:
     """Process planned rows that have no terminal status yet.
 
     Each micro-batch drops what the manifest already holds with an anti join
-    and is written under its own batch number, so a batch that is replayed
-    after a lost driver replaces its own rows instead of adding to them.
+    and is written under its run and batch number, so a batch that is replayed
+    after a lost driver replaces its own rows instead of adding to them. The
+    run is the stream's own identifier, kept in its checkpoint: a new
+    checkpoint on an old manifest is a new run and replaces nothing.
     """
+    source_rows = arrivals(spark, source, schema)
+    run = _run_id(spark, checkpoint)
+
     def step(batch: DataFrame, number: int) -> None:
         s = batch.sparkSession
         rows = batch.groupBy("slice_id").agg(F.min("status").alias("status"))
         if _present(s, manifest):
-            seen = s.read.parquet(manifest).filter(F.col("batch") != number).select("slice_id")
+            seen = s.read.parquet(manifest).filter((F.col("batch") != number) | (F.col("run") != run)).select("slice_id")
             rows = rows.join(seen, "slice_id", "left_anti")
         if process is not None:
             rows = process(rows)
-        rows.write.mode("overwrite").parquet(f"{manifest}/batch={number}")
+        rows.write.mode("overwrite").parquet(f"{manifest}/run={run}/batch={number}")
 
     q = (
-        arrivals(spark, source, schema).writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+        source_rows.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
     q.awaitTermination()
