@@ -46,8 +46,8 @@ def measured(docs: DataFrame, text: Column, name: str) -> DataFrame:
 
     Steps that several others use are columns of their own, so each is worked out once in a row.
     """
-    names = {k: free_name(docs, f"{name}_{k}") for k in ("words", "lines", "hashes", "sorted", "places")}
-    words, lines, hashes, ordered, places = (F.col(n) for n in names.values())
+    names = {k: free_name(docs, f"{name}_{k}") for k in ("words", "lines", "one", "two", "four", "hashes", "sorted", "places")}
+    words, lines, one, two, four, hashes, ordered, places = (F.col(n) for n in names.values())
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
     df = docs.withColumn(names["words"], F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE)))
     df = df.withColumn(names["lines"], F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: F.btrim(x, F.lit(" \t\n\x0b\x0c\r")) != ""))
@@ -57,10 +57,9 @@ def measured(docs: DataFrame, text: Column, name: str) -> DataFrame:
         return F.zip_with(F.slice(array, 1, n), F.slice(array, gap + 1, n), lambda x, y: F.xxhash64(x, y))
 
     # Hashes of 1, 2, 4 and then 8 words in a row.
-    windows = F.transform(words, lambda w: F.xxhash64(w))
-    for gap in (1, 2, 4):
-        windows = neighbours(windows, gap)
-    df = df.withColumn(names["hashes"], F.when(F.size(words) >= WINDOW, windows))
+    df = df.withColumn(names["one"], F.when(F.size(words) >= WINDOW, F.transform(words, lambda w: F.xxhash64(w))))
+    for level, before, gap in (("two", one, 1), ("four", two, 2), ("hashes", four, 4)):
+        df = df.withColumn(names[level], neighbours(before, gap))
     pairs = F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
     df = df.withColumn(names["sorted"], F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), F.sort_array(pairs)))
     twice = F.filter(ordered, lambda s, j: (s["h"] == F.get(ordered, j - 1)["h"]) | (s["h"] == F.get(ordered, j + 1)["h"]))
