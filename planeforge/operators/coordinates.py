@@ -12,25 +12,24 @@ VIEWS = {
 }
 
 
+def _lps_sign(system: Column) -> Column:
+    """-1 for LPS, 1 for RAS, an error for anything else."""
+    name = F.upper(F.trim(system))
+    known = F.when(name == "LPS", F.lit(-1.0)).when(name == "RAS", F.lit(1.0))
+    unknown = F.raise_error(F.concat(F.lit("unsupported coordinate system: "), F.coalesce(system, F.lit("none"))))
+    return F.coalesce(known, unknown.cast("double"))
+
+
 def to_ras(df: DataFrame, names: tuple[str, str, str], system: Column) -> DataFrame:
     """Negate the first two components of rows given in LPS."""
-    sign = F.when(F.upper(F.trim(system)) == "LPS", F.lit(-1.0)).when(
-        F.upper(F.trim(system)) == "RAS", F.lit(1.0)
-    )
-    sign = F.coalesce(
-        sign, F.raise_error(F.concat(F.lit("unsupported coordinate system: "), system)).cast("double")
-    )
+    sign = _lps_sign(system)
     return df.withColumns({names[0]: F.col(names[0]) * sign, names[1]: F.col(names[1]) * sign})
 
 
 def direction_to_ras(df: DataFrame, names: list[str], system: Column) -> DataFrame:
     """Negate the first two rows of a row-major 3x3 direction."""
-    for row in (0, 1):
-        lps = F.upper(F.trim(system)) == "LPS"
-        df = df.withColumns(
-            {n: F.when(lps, -F.col(n)).otherwise(F.col(n)) for n in names[3 * row : 3 * row + 3]}
-        )
-    return df
+    sign = _lps_sign(system)
+    return df.withColumns({n: F.col(n) * sign for n in names[:6]})
 
 
 def project_orthographic(df: DataFrame) -> DataFrame:

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import pathlib
+import re
 import tempfile
 import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _SHARED: dict[str, str] = {}
 _SHIPPED: set[str] = set()
@@ -53,13 +55,16 @@ def build_session(app: str = "planeforge", cores: str = "8", shuffle: int = 8) -
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests, local runs) is a new one made.
+    Only where a local session names none (tests, local runs) is a new one
+    made: on a cluster a folder of one machine would hide rows from the others.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     )
     if configured:
         return configured
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _SHARED:
         _SHARED[app] = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
@@ -94,8 +99,12 @@ _STAGES: dict[tuple, tuple[str, DataFrame]] = {}
 
 
 def stage(spark: SparkSession, name: str, sf_dir: str, build) -> DataFrame:
-    """A stage table written once per application and read by many queries."""
-    key = (spark.sparkContext.applicationId, name, sf_dir)
+    """A stage table written once per application and read by many queries.
+
+    The tables' names, sizes and times are part of its key, so changed input
+    is never answered from an old table.
+    """
+    key = (spark.sparkContext.applicationId, name, sf_dir, _input_mark(spark, sf_dir))
     if key not in _STAGES or not _present(spark, _STAGES[key][0]):
         path = stage_path(spark, name)
         df = build()
@@ -105,6 +114,11 @@ def stage(spark: SparkSession, name: str, sf_dir: str, build) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def _input_mark(spark: SparkSession, sf_dir: str) -> tuple:
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(sf_dir)
+    return tuple(files.agg(F.count("*"), F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first())
+
+
 def _present(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)

@@ -146,6 +146,10 @@ NRRD_TYPES = {
 NIFTI_TYPES = {2: "u1", 4: "i2", 8: "i4", 16: "f4", 64: "f8", 256: "i1", 512: "u2", 768: "u4"}
 
 
+# Names of the patient spaces that are read; no name means the format's usual LPS.
+NRRD_SPACES = {"": "LPS", "left-posterior-superior": "LPS", "lps": "LPS", "right-anterior-superior": "RAS", "ras": "RAS"}
+
+
 def _vector(text: str) -> list[float]:
     return [float(v) for v in text.strip().strip("()").split(",")]
 
@@ -162,17 +166,31 @@ def _parse_nrrd(data: bytes):
         raise ValueError("not three-dimensional")
     sizes = [int(v) for v in fields["sizes"].split()]
     kind = np.dtype(("<" if fields.get("endian", "little") == "little" else ">") + NRRD_TYPES[fields["type"]])
-    enc = fields.get("encoding", "raw")
+    enc = fields.get("encoding", "raw").lower()
+    if enc not in ("raw", "gzip", "gz"):
+        raise ValueError(f"unsupported encoding {enc}")
+    if "data file" in fields or "datafile" in fields:
+        raise ValueError("detached data file")
     raw = gzip.decompress(body) if enc in ("gzip", "gz") else body
     dirs = [_vector(v) for v in fields["space directions"].split(") (")] if "space directions" in fields else np.eye(3).tolist()
     origin = _vector(fields["space origin"]) if "space origin" in fields else [0.0] * 3
     arr = np.frombuffer(raw, dtype=kind, count=int(np.prod(sizes))).reshape(sizes[::-1])
     d = np.array(dirs, dtype=float).T
     spacing = np.linalg.norm(d, axis=0)
-    system = "RAS" if fields.get("space", "").lower().startswith(("right-anterior", "ras")) else "LPS"
+    system = NRRD_SPACES.get(fields.get("space", "").lower())
+    if system is None:
+        raise ValueError(f"unsupported space {fields.get('space', '')!r}")
     return arr, spacing, np.array(origin), d / spacing, system
 
 
+def _quaternion(b: float, c: float, d: float) -> np.ndarray:
+    """Rotation of the unit quaternion whose last three parts are given."""
+    v = np.array([b, c, d])
+    a = np.sqrt(max(0.0, 1.0 - v @ v))
+    wedge = np.array([[0, -d, c], [d, 0, -b], [-c, b, 0]])
+    return (a * a - v @ v) * np.eye(3) + 2 * np.outer(v, v) + 2 * a * wedge
+
+
 def _parse_nifti(data: bytes):
     if data[:2] == b"\x1f\x8b":
         data = gzip.decompress(data)
@@ -192,7 +210,12 @@ def _parse_nifti(data: bytes):
     if struct.unpack_from(end + "h", data, 254)[0] > 0:
         spacing = np.linalg.norm(rows[:, :3], axis=0)
         return arr, spacing, rows[:, 3], rows[:, :3] / spacing, "RAS"
-    return arr, np.array(pix[1:4]), np.zeros(3), np.eye(3), "RAS"
+    if struct.unpack_from(end + "h", data, 252)[0] > 0:
+        b, c, d, *origin = struct.unpack_from(end + "6f", data, 256)
+        turn = _quaternion(b, c, d)
+        turn[:, 2] *= -1.0 if pix[0] < 0 else 1.0
+        return arr, np.array(pix[1:4]), np.array(origin), turn, "RAS"
+    return arr, np.array(pix[1:4]), np.zeros(3), np.eye(3), "RAS"  # a file without placement
 
 
 def _volume(path: str, data: bytes, labels: bool):
