@@ -32,6 +32,8 @@ def case_checks() -> list[tuple[str, Column]]:
         ("missing_model", F.size(F.array_except(models, "organ_models")) > 0),
         ("unexpected_model", F.size(F.array_except("organ_models", models)) > 0),
         ("vessel_labels", F.array_sort("vessel_labels") != F.array(F.lit("artery"), F.lit("vein"))),
+        ("point_counts", (F.array_sort(F.map_keys("point_counts")) != F.array(*[F.lit(n) for n in sorted(K.POINT_LIMITS)]))
+         | F.exists(F.map_values("point_counts"), lambda v: v.isNull() | (v <= 0))),
         ("ray_length_mm", num("ray_length_mm") | (c("ray_length_mm") <= 0)),
         ("output_resolution", c("output_resolution") < 1),
         ("black_threshold", (c("black_threshold") < 0) | (c("black_threshold") > 255)),

@@ -99,6 +99,7 @@ def closest_pair(points: DataFrame, keys: list[str], id_col: str, start_mm: floa
 
 
 BATCH = 2048
+PARTS = 64
 
 
 def _pick(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -190,8 +191,11 @@ def farthest_points(cands: DataFrame, keys: list[str], rules: DataFrame, spacing
             left.filter(F.col("d") >= floor_mm - SPACING_TOLERANCE_MM).select(*keys, "ord", *XYZ, "d", "need", "last"),
             "fps-left",
         )
-        top = W.partitionBy(*keys).orderBy(F.col("d").desc(), "ord")
-        batch = left.withColumn("rn", F.row_number().over(top)).filter(F.col("rn") <= BATCH).select(
+        # Top lists of parts of a group first: the last one then ranks at most PARTS batches, whatever the group holds.
+        far = [F.col("d").desc(), F.col("ord")]
+        part = W.partitionBy(*keys, F.pmod(F.xxhash64("ord"), F.lit(PARTS))).orderBy(*far)
+        some = left.withColumn("rn", F.row_number().over(part)).filter(F.col("rn") <= BATCH)
+        batch = some.withColumn("rn", F.row_number().over(W.partitionBy(*keys).orderBy(*far))).filter(F.col("rn") <= BATCH).select(
             *keys, "ord", *XYZ, "d", F.col("need").cast("long"), (F.col("last") + 1).alias("have"),
             F.lit(floor_mm).alias("spacing"), F.lit(-1).cast("long").alias("first"), F.lit(BATCH).alias("batch"))
         new = materialize(

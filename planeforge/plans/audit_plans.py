@@ -20,6 +20,7 @@ def cases(spark, sf):
     """Registry rows, one per customer, with known faults."""
     k = F.col("c_custkey")
     models = F.array(*[F.lit(m) for m in K.REQUIRED_MODELS])
+    limits = F.create_map(*[F.lit(x) for n in K.POINT_LIMITS for x in (n, 500)])
     base_keys = F.array(*[F.lit(n) for n in ("case_id", "ct_path", "sampling")])
     return table(spark, sf, "customer").select(
         k.alias("case_key"), F.when(k % 13 == 0, "").otherwise(F.concat(F.lit("case-"), k.cast("string"))).alias("case_id"),
@@ -28,12 +29,14 @@ def cases(spark, sf):
         F.when(k % 19 == 0, F.array(F.lit("vein"), F.lit("vein"))).otherwise(F.array(F.lit("vein"), F.lit("artery"))).alias("vessel_labels"),
         F.when(k % 23 == 0, F.lit(float("nan"))).otherwise(F.lit(100.0)).alias("ray_length_mm"), F.lit(300).alias("output_resolution"),
         F.when(k % 29 == 0, 256).otherwise(50).alias("black_threshold"), F.when(k % 31 == 0, 1.5).otherwise(0.6).alias("black_ratio_limit"),
-        F.when(k % 37 == 0, "tpu").otherwise("auto").alias("backend"), F.when(k % 41 == 0, "XYZ").otherwise("LPS").alias("input_coordinate_system"))
+        F.when(k % 37 == 0, "tpu").otherwise("auto").alias("backend"), F.when(k % 41 == 0, "XYZ").otherwise("LPS").alias("input_coordinate_system"),
+        F.when(k % 47 == 0, F.map_filter(limits, lambda n, _: n != "liver")).when(k % 53 == 0, F.transform_values(limits, lambda _, v: v - 500))
+        .otherwise(limits).alias("point_counts"))
 
 
 _CASE = {"case_id": "c_custkey % 13 = 0", "unexpected_key": "c_custkey % 11 = 0", "missing_model": "c_custkey % 17 = 0", "unexpected_model": "c_custkey % 17 = 1",
          "vessel_labels": "c_custkey % 19 = 0", "ray_length_mm": "c_custkey % 23 = 0", "black_threshold": "c_custkey % 29 = 0",
-         "black_ratio_limit": "c_custkey % 31 = 0", "backend": "c_custkey % 37 = 0", "input_coordinate_system": "c_custkey % 41 = 0"}
+         "black_ratio_limit": "c_custkey % 31 = 0", "point_counts": "c_custkey % 47 = 0 OR c_custkey % 53 = 0", "backend": "c_custkey % 37 = 0", "input_coordinate_system": "c_custkey % 41 = 0"}
 
 
 @query("flt17_case_validation", "SELECT kind, count(*) AS n FROM (SELECT unnest([" + ", ".join(f"CASE WHEN {c} THEN '{n}' END" for n, c in _CASE.items()) + "]) AS kind FROM customer) WHERE kind IS NOT NULL GROUP BY kind")
@@ -259,17 +262,14 @@ def aud10(spark, sf):
     return r.groupBy("case_id", "kind").agg(F.count(F.lit(1)).alias("n"))
 
 
-cte("b_summary", """
-SELECT case_id, metric, label, count(*) AS n FROM (SELECT case_id, 'feature_label_counts' AS metric, f.label FROM (SELECT case_id, unnest(features) AS f FROM b_gallery)
- UNION ALL SELECT case_id, 'organ_label_counts', l FROM (SELECT case_id, unnest(organ_labels) AS l FROM b_gallery)) GROUP BY ALL
-""")
+cte("b_summary", MP.LIBRARY)
 
 
 @query("aud11_summary_recount", """
 SELECT case_id, metric, label, n AS recounted, n + 1 AS stored FROM b_summary WHERE label IN ('artery', 'spleen')""")
 def aud11(spark, sf):
     """The stored summary against a recount; two labels were altered."""
-    now = MF.library_summary(MP.gallery(spark, sf), ["case_id"]).filter(F.col("metric").isin("feature_label_counts", "organ_label_counts"))
+    now = MF.library_summary(MP.gallery(spark, sf), ["case_id"])
     stored = now.withColumn("stored", F.col("n") + F.when(F.col("label").isin("artery", "spleen"), 1).otherwise(0)).drop("n")
     j = now.join(stored, ["case_id", "metric", "label"], "full_outer")
     return j.filter(~F.col("n").eqNullSafe(F.col("stored"))).select("case_id", "metric", "label", F.col("n").alias("recounted"), "stored")

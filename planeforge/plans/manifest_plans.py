@@ -160,14 +160,17 @@ def flt16(spark, sf):
     return f.groupBy("label", verdict.alias("verdict")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("agg01_library_summary", """
+LIBRARY = """
 WITH t AS (SELECT case_id, 'indexed_feature_count' AS metric, '' AS label FROM b_gallery WHERE len(features) > 0
  UNION ALL SELECT case_id, 'feature_label_counts', f.label FROM (SELECT case_id, unnest(features) AS f FROM b_gallery)
  UNION ALL SELECT case_id, 'organ_label_counts', l FROM (SELECT case_id, unnest(organ_labels) AS l FROM b_gallery)
  UNION ALL SELECT case_id, 'eus_candidate_organ_label_counts', l FROM (SELECT case_id, unnest(candidates) AS l FROM b_gallery)
  UNION ALL SELECT case_id, 'eus_vessel_label_counts', l FROM (SELECT case_id, unnest(vessels) AS l FROM b_gallery)
  UNION ALL SELECT case_id, 'eus_vessel_feature_counts', f.label FROM (SELECT case_id, unnest(vessel_features) AS f FROM b_gallery))
-SELECT case_id, metric, label, count(*) AS n FROM t GROUP BY ALL""")
+SELECT case_id, metric, label, count(*) AS n FROM t GROUP BY ALL"""
+
+
+@query("agg01_library_summary", LIBRARY)
 def agg01(spark, sf):
     return MF.library_summary(gallery(spark, sf), ["case_id"])
 

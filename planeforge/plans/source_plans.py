@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from .. import contract as K
 from ..functions.linalg import r6
-from ..operators import manifest as MF, poses as P
+from ..operators import manifest as MF, planes as PL, poses as P
 from ..session import stage_path
 from ..sinks import manifest as SM, ply as PLY, rasters as SR
 from ..sources import bridges as B, documents as DOC, files as FI
 from ..sources.tables import table
 from .catalog import query
 from .oracle import pose_id_sql, r6 as s6
+from .plane_plans import _COLOUR, colours
 from .pose_plans import base, frames
 
 
@@ -220,15 +221,31 @@ def snk02(spark, sf):
     return got.groupBy("organ", "exclusion_reason").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("snk03_rasters", """
-SELECT kind, count(*) AS n, CAST(sum(length_) AS BIGINT) AS n_bytes FROM (SELECT unnest(CASE WHEN plane_id % 3 = 0 THEN ['ct', 'boundary_only', 'ct_overlay', 'organ_vessel_boundary', 'eus_vessel_boundary', 'ct_eus_vessel_overlay']
- WHEN plane_id % 3 = 1 THEN ['ct', 'boundary_only', 'ct_overlay'] ELSE ['ct'] END) AS kind, 1024 AS length_ FROM (SELECT o_orderkey AS plane_id FROM orders)) GROUP BY kind""")
+@query("snk03_rasters", f"""
+WITH e AS (SELECT plane_id, row_, col_, max(CASE vessel {_COLOUR} END) AS c, max(CASE WHEN vessel <> 'portal_vein' THEN CASE vessel {_COLOUR} END END) AS a,
+  max(CASE WHEN vessel = 'portal_vein' THEN CASE vessel {_COLOUR} END END) AS p FROM b_vessel_edge GROUP BY ALL),
+ px AS (SELECT plane_id, row_, col_, c, a, p, CASE WHEN col_ < 7 THEN 0 ELSE 127 END AS g FROM b_label LEFT JOIN e USING (plane_id, row_, col_)),
+ v AS (SELECT plane_id, row_, col_, unnest(['ct', 'boundary_only', 'ct_overlay', 'organ_vessel_boundary', 'eus_vessel_boundary', 'ct_eus_vessel_overlay'][1:CASE plane_id % 3 WHEN 0 THEN 6 WHEN 1 THEN 3 ELSE 1 END]) AS kind,
+  unnest([printf('%02X', g), printf('%06X', coalesce(c, 16777215)), printf('%06X', coalesce(c, g * 65793)), printf('%06X', coalesce(a, 16777215)), printf('%06X', coalesce(p, 16777215)),
+   printf('%06X', coalesce(p, g * 65793))][1:CASE plane_id % 3 WHEN 0 THEN 6 WHEN 1 THEN 3 ELSE 1 END]) AS x FROM px)
+SELECT plane_id, kind, sha256(string_agg(x, '' ORDER BY row_, col_)) AS content FROM v GROUP BY plane_id, kind""")
 def snk03(spark, sf):
+    """Six kinds of image with contents of their own, read back from the files."""
     path = stage_path(spark, "rasters")
-    p = B.gray_planes(spark, sf).withColumn("status", B.pick(("gallery", "rejected", "excluded_fov"), F.col("plane_id") % 3))
-    SR.write_rasters(p, "plane_id", path)
-    r = spark.read.parquet(path)
-    return r.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("image")).alias("n_bytes"))
+    side = B.LABEL_SIDE
+    gray = F.expr(f"transform(sequence(0, {side ** 2 - 1}), i -> cast(if(i % {side} < 7, 0, 127) as int))")
+    portal = PL.rgb(K.VESSEL_COLORS["portal_vein"])
+
+    def only(keep):
+        return F.transform("rgb", lambda v: F.when(keep(v), v).otherwise(PL.WHITE))
+
+    p = colours(spark, sf).select(
+        "plane_id", F.lit(side).alias("h"), F.lit(side).alias("w"), gray.alias("px"), F.col("rgb").alias("boundary_only"),
+        PL.composite(F.col("rgb"), PL.gray_as_rgb(gray)).alias("ct_overlay"), only(lambda v: v != portal).alias("organ_vessel_boundary"),
+        only(lambda v: v == portal).alias("eus_vessel_boundary"))
+    p = p.withColumn("ct_eus_vessel_overlay", PL.composite(F.col("eus_vessel_boundary"), PL.gray_as_rgb(F.col("px"))))
+    SR.write_rasters(p.withColumn("status", B.pick(("gallery", "rejected", "excluded_fov"), F.col("plane_id") % 3)), "plane_id", path)
+    return spark.read.parquet(path).select("plane_id", "kind", F.sha2(F.hex("image"), 256).alias("content"))
 
 
 _HEAD = "['ply', 'format ascii 1.0', 'element vertex ' || n, 'property double x', 'property double y', 'property double z', 'property double nx', 'property double ny', 'property double nz', 'end_header']"
