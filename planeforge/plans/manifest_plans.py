@@ -396,35 +396,43 @@ def jn13(spark, sf):
     return MF.count_kinds(m, "mismatches", [])
 
 
+# Faults put into the rows that are audited: one in so many, by point and angle.
+_H = "(point_index * 7 + ang_ord)"
+_FAULTS = {"vertices": 997, "axes": 1499, "identity": 1801, "region": 1201, "policy": 1301, "targets": 1409, "point": 1103}
+
+
 @query("jn15_pose_geometry_audit", f"""
-SELECT organ, count(*) AS n_rows, count(*) FILTER ((point_index * 7 + ang_ord) % 997 = 0) AS n_vertices, count(*) FILTER ((point_index * 7 + ang_ord) % 1499 = 0) AS n_axes FROM b_pose GROUP BY organ""")
+SELECT organ, count(*) AS n_rows, {", ".join(f"count(*) FILTER ({_H} % {n} = 0) AS n_{k}" for k, n in _FAULTS.items())} FROM b_pose GROUP BY organ""")
 def jn15(spark, sf):
-    """Manifest rows against squares rebuilt from the point plan."""
+    """Manifest rows against squares, identifiers and fields rebuilt from the point plan."""
     f = frames(spark, sf)
     h = F.col("point_index") * 7 + F.col("ang_ord")
-    rows = P.with_identity(P.expand(f)).withColumns({
-        "v2y": F.col("v2y") + F.when(h % 997 == 0, 1e-8).otherwise(0.0), "az": F.col("az") + F.when(h % 1499 == 0, 1e-9).otherwise(0.0)})
-    rows = rows.select("case_id", *POSE, "slice_id", *P.VERTICES, *P.AXES)
-    a = audit_geometry(rows, f)
-    return a.groupBy("organ").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(~F.col("vertices_ok")).alias("n_vertices"),
-                                  F.count_if(~F.col("axes_ok")).alias("n_axes"))
+    bad = {k: h % n == 0 for k, n in _FAULTS.items()}
+    rows = P.with_identity(P.expand(f, ("source_region", "target_ids")))
+    rows = rows.withColumns({
+        "v2y": F.col("v2y") + F.when(bad["vertices"], 1e-8).otherwise(0.0), "az": F.col("az") + F.when(bad["axes"], 1e-9).otherwise(0.0),
+        "slice_id": F.when(bad["identity"], F.concat("slice_id", F.lit("x"))).otherwise(F.col("slice_id")),
+        "source_region": F.when(bad["region"], "elsewhere").otherwise(F.col("source_region")),
+        "yaw_policy": F.when(bad["policy"], "none").otherwise(F.col("yaw_policy")),
+        "target_ids": F.when(bad["targets"], F.array(F.lit("nothing"))).otherwise(F.col("target_ids")),
+        "x": F.col("x") + F.when(bad["point"], 1e-9).otherwise(0.0)})
+    a = audit_geometry(rows.select("case_id", *POSE, "slice_id", "source_region", "yaw_policy", "target_ids", *"xyz", *P.VERTICES, *P.AXES), f)
+    return a.groupBy("organ").agg(F.count(F.lit(1)).alias("n_rows"), *[F.count_if(~F.col(f"{k}_ok")).alias(f"n_{k}") for k in _FAULTS])
 
 
 def audit_geometry(rows, frames_df):
-    """Decode the identifier, take the point's frame, rotate it by the decoded
-    angles, compare. The plan has one row per point, thousands of times fewer
-    rows than the manifest."""
+    """Take the point's frame, rotate it by the row's angles, compare; the
+    identifier is written anew from the typed fields, and the fields that the
+    plan also holds must be equal. The plan has one row per point, thousands
+    of times fewer rows than the manifest."""
     from ..functions.angles import ROTATION, angle_grid
-    from ..functions.identity import with_decoded
+    from ..functions.identity import pose_id
     from ..functions.linalg import add, scale, vec
 
-    # Keys that cannot be null spare the join its null filters, which would be
-    # pushed down into the parsing and repeat all of it once per key.
-    r = with_decoded(rows.drop(*POSE), "slice_id").withColumns({
-        "organ": F.coalesce("organ", F.lit("")), **{c: F.coalesce(c, F.lit(-999)) for c in POSE[1:]}})
-    base = frames_df.select("case_id", "organ", "point_index", "yaw_policy", "x", "y", "z", *[F.col(c).alias(f"f_{c}") for c in P.AXES])
-    grid = angle_grid(rows.sparkSession).drop("ang_ord")
-    j = r.join(base, ["case_id", "organ", "point_index"]).join(F.broadcast(grid), ["yaw_policy", "roll", "pitch", "yaw"])
+    same = ("source_region", "yaw_policy", "target_ids")
+    base = frames_df.select("case_id", "organ", "point_index", *[F.col(c).alias(f"f_{c}") for c in (*P.AXES, *"xyz", *same)])
+    grid = angle_grid(rows.sparkSession).drop("ang_ord").withColumnRenamed("yaw_policy", "f_yaw_policy")
+    j = rows.join(base, ["case_id", "organ", "point_index"]).join(F.broadcast(grid), ["f_yaw_policy", "roll", "pitch", "yaw"])
     fv = [vec(*(f"f_{c}" for c in P.AXES[3 * i : 3 * i + 3])) for i in range(3)]
     exp = {}
     for jx, stem in enumerate("ahc"):
@@ -435,12 +443,16 @@ def audit_geometry(rows, frames_df):
     j = j.withColumns(far)
     gap = {}
     for a in "xyz":
-        left, right = F.col(a) - F.col(f"e_h{a}") * K.HALF_SIDE_MM, F.col(a) + F.col(f"e_h{a}") * K.HALF_SIDE_MM
+        left, right = F.col(f"f_{a}") - F.col(f"e_h{a}") * K.HALF_SIDE_MM, F.col(f"f_{a}") + F.col(f"e_h{a}") * K.HALF_SIDE_MM
         depth = F.col(f"e_a{a}") * K.SIDE_MM
         for i, e in ((1, left), (2, right), (3, right + depth), (4, left + depth)):
             gap[f"g_{i}{a}"] = F.abs(F.col(f"v{i}{a}") - e)
     j = j.withColumns(gap)
-    return j.select("case_id", *POSE, (F.greatest(*gap) <= 1e-9).alias("vertices_ok"), (F.greatest(*far) <= 1e-10).alias("axes_ok"))
+    away = F.greatest(*[F.abs(F.col(a) - F.col(f"f_{a}")) for a in "xyz"])
+    names = dict(zip(same, ("region", "policy", "targets")))
+    return j.select(
+        "case_id", *POSE, (F.greatest(*gap) <= 1e-9).alias("vertices_ok"), (F.greatest(*far) <= 1e-10).alias("axes_ok"), (away <= 1e-12).alias("point_ok"),
+        (F.col("slice_id") == pose_id(*(F.col(c) for c in POSE))).alias("identity_ok"), *[F.col(c).eqNullSafe(F.col(f"f_{c}")).alias(f"{n}_ok") for c, n in names.items()])
 
 
 @query("jn14_plan_against_export", """
