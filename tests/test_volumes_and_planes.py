@@ -153,10 +153,10 @@ def test_component_labels_on_a_spiral():
                 y, x = y + dy, x + dx
             dy, dx = dx, -dy
         run += 1
-    assert len(np.unique(PL.components(m)[m])) == 1
+    assert len(np.unique(PL.components(m[None].astype(int))[0][m])) == 1
     two = np.zeros((5, 5), dtype=bool)
     two[0, 0] = two[4, 4] = True
-    assert len(np.unique(PL.components(two)[two])) == 2
+    assert len(np.unique(PL.components(two[None].astype(int))[0][two])) == 2
 
 
 def mesh_rows(spark, boxes):
