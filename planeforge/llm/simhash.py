@@ -187,7 +187,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bi
     # The least row of each fingerprint first, so that copies meet in partial aggregates.
     first = narrow.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"))
     kept = first.join(groups, "fp").groupBy("root").agg(F.min("first").alias("first")).select(F.col("first")["row"].alias(row))
-    return marked.join(materialize(kept, "kept"), row, "left_semi").select(*[column(marked, c) for c in docs.columns])
+    # A merge join at every size: what is kept grows with the input, so it is never broadcast.
+    return marked.join(materialize(kept, "kept").hint("merge"), row, "left_semi").select(*[column(marked, c) for c in docs.columns])
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
