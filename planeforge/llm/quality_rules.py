@@ -124,11 +124,14 @@ def fences(df: DataFrame, m: str, lang: Column, source: Column) -> DataFrame:
     below = F.create_map(*[F.lit(x) for k, v in FENCES.items() for x in (k, v[1])])[F.col("measure")]
     bounds = quartiles.select(*key, "n", F.when(below, F.col("q1") - margin).otherwise(0).alias("least"), (F.col("q3") + margin).alias("most"))
     wide = bounds.groupBy("level", "lang", "source").agg(F.max("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("measure", F.struct("least", "most")))).alias("f"))
-    group, language, corpus = (wide.where(F.col("level") == k).select(*c, F.col("n").alias(f"n{k}"), F.col("f").alias(f"f{k}")) for k, c in enumerate((["lang", "source"], ["lang"], [])))
-    language = language.withColumnRenamed("lang", "language")
-    chosen = group.join(language, group["lang"].eqNullSafe(language["language"])).join(F.broadcast(corpus))  # one row
-    pick = F.when(F.col("n0") >= ENOUGH, F.col("f0")).when(F.col("n1") >= ENOUGH, F.col("f1")).otherwise(F.col("f2"))
-    return materialize(chosen.select("lang", "source", pick.alias("fences")), "fences")
+    # Of a group, its language and the corpus, the first with enough documents.
+    none = F.lit(None).cast("string")
+    levels = [F.struct(F.lit(k).alias("of"), a.alias("of_lang"), b.alias("of_source")) for k, a, b in ((0, F.col("lang"), F.col("source")), (1, F.col("lang"), none), (2, none, none))]
+    wanted = own.select("lang", "source").distinct().select("lang", "source", F.inline(F.array(*levels)))
+    wide = wide.withColumnsRenamed({"lang": "at_lang", "source": "at_source"})
+    same = (F.col("of") == F.col("level")) & F.col("of_lang").eqNullSafe(F.col("at_lang")) & F.col("of_source").eqNullSafe(F.col("at_source"))
+    enough = wanted.join(wide, same).where((F.col("n") >= ENOUGH) | (F.col("level") == 2))
+    return materialize(enough.groupBy("lang", "source").agg(F.min_by("f", "level").alias("fences")), "fences")
 
 
 def judged(df: DataFrame, m: str, lang: Column, source: Column, verdict: str) -> DataFrame:
