@@ -183,9 +183,9 @@ def search(vectors: DataFrame, chosen: str, id_col: str = "vec_id", vector_col:
                 ends = np.cumsum(widths) * len(ids)
                 columns = [flat[e - w * len(ids) : e].reshape(-1, w) for w, e in zip(widths, ends, strict=True)]
                 q_ids, q_v = np.frombuffer(row.q_ids, np.int64), np.frombuffer(row.q_v).reshape(-1, d)
-                for name, query in zip(q_ids, q_v, strict=True):
-                    found, score = scan_block(ids, v, columns, name, query, query @ turn, k)
-                    yield pd.DataFrame({"query_id": name, "vec_id": found, "score": score})
+                found = [scan_block(ids, v, columns, name, query, query @ turn, k) for name, query in zip(q_ids, q_v, strict=True)]
+                near, score = map(np.concatenate, zip(*found, strict=True))
+                yield pd.DataFrame({"query_id": np.repeat(q_ids, [len(x) for x, _ in found]), "vec_id": near, "score": score})
 
     with batches_of(spark, 32):
         best = materialize(tiles.select("ids", "v", "turned", "q_ids", "q_v").mapInPandas(measure, RESULT), "tiles")
