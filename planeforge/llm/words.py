@@ -9,6 +9,7 @@ of ``GENERATION`` chunks, the older of which is dropped when the younger is full
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 
@@ -17,6 +18,7 @@ GENERATION = 600_000
 
 #: Two white-space characters in a row, or white space at an end: such texts take the general cut.
 _UNEVEN = re.compile(r"\s\s|^\s|\s$")
+_SPACE = re.compile(r"\s")
 #: ASCII marks, but for those that may begin or end a special token or a contraction.
 MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
 #: A space before anything but white space begins a pre-token of the byte-level tokenizer.
@@ -32,8 +34,9 @@ class Memory(dict):
 
     def __missing__(self, key):
         value = self.old.get(key)
-        if value is None:
-            value = self.make(key)
+        return self.put(key, self.make(key) if value is None else value)
+
+    def put(self, key, value):
         if len(self) >= self.size:
             self.old = dict(self)
             self.clear()
@@ -84,16 +87,49 @@ class Encoder:
     def _ids(self, chunk: str) -> bytes:
         if not chunk:
             return b""
+        return array("H", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
+
+    def _plain(self, chunk: str) -> tuple[str, ...]:
+        """The chunks that a chunk's ids are put together from."""
         body = chunk.rstrip(MARKS)
         if body and len(body) < len(chunk) and body[-1] < "\u0250" and body[-1].isalpha():
             # A letter and a mark after it never share a pre-token.
-            return self.memory[body] + self.memory[chunk[len(body) :]]
-        if self.words and chunk.isascii() and "<" not in chunk and chunk != (lower := chunk.lower()):
-            return self.memory[lower]
-        return np.asarray(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u2").tobytes()
+            return (*self._plain(body), chunk[len(body) :])
+        if self.words and chunk.isascii() and "<" not in chunk:
+            return (chunk.lower(),)
+        return (chunk,)
+
+    def _learn(self, chunks: set[str]) -> None:
+        """Encodes unknown chunks, those that cannot run into each other as one text."""
+        parts = {c: self._plain(c) for c in chunks if c not in self.memory.old}
+        new = [x for x in dict.fromkeys(x for ps in parts.values() for x in ps) if x not in self.memory and x not in self.memory.old]
+        bare = 0 if self.words else 1
+        apart = [x for x in new if len(x) > bare and (self.words or x[0] == " ") and not _SPACE.search(x, bare)]
+        known = dict.fromkeys(new)
+        if apart:
+            joint = self.tokenizer.encode((" " if self.words else "").join(apart), add_special_tokens=False)
+            sizes = np.fromiter(map(len, apart), np.int64, len(apart)) + (1 if self.words else 0)
+            starts = np.array(joint.offsets, np.int64).reshape(-1, 2)[:, 0]
+            cuts = np.searchsorted(starts, np.cumsum(sizes) - (1 if self.words else 0), "left") * 2
+            data, at = array("H", joint.ids).tobytes(), 0
+            for x, end in zip(apart, cuts.tolist(), strict=True):
+                known[x] = data[at:end]
+                at = end
+        for x, ids in known.items():
+            self.memory.put(x, self._ids(x) if ids is None else ids)
+        for c, ps in parts.items():
+            if ps != (c,):
+                self.memory.put(c, b"".join(map(self.memory.__getitem__, ps)))
 
     def packed(self, text: str | None) -> bytes:
-        return b"".join(map(self.memory.__getitem__, self.cut(text))) if text else b""
+        if not text:
+            return b""
+        chunks = self.cut(text)
+        found = list(map(self.memory.get, chunks))
+        if None not in found:
+            return b"".join(found)
+        self._learn({c for c, ids in zip(chunks, found, strict=True) if ids is None})
+        return b"".join(map(self.memory.__getitem__, chunks))
 
     def ids(self, text: str | None) -> np.ndarray:
         return np.frombuffer(self.packed(text), "<u2").astype("<u4")
