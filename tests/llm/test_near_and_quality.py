@@ -228,3 +228,45 @@ def test_pipeline_against_a_plain_version(spark, tmp_path):
     assert packed.groupby("sequence_id").length.sum().max() <= packing.CAPACITY
     run = corpus_pipeline.run(spark, folder).toPandas()
     assert Counter(zip(run.doc_id, run.piece, run.ids_crc32, strict=True)) == Counter(zip(packed.doc_id, packed.piece, packed.ids_crc32, strict=True))
+
+
+def similar_components(texts, ids):
+    """The least id reachable over five-word similarities of at least 0.8, by comparing all pairs."""
+    sets = []
+    for t in texts:
+        w = (t or "").encode().lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) > 5 else {tuple(w)})
+    root = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if root[i] != root[j] and len(a & sets[j]) >= 0.8 * len(a | sets[j]):
+                root = [root[j] if x == root[i] else x for x in root]
+    return {min(i for i, r in zip(ids, root, strict=True) if r == x) for x in root}
+
+
+@pytest.mark.parametrize("crowd", [256, 8])
+def test_pipeline_stage_drops_copies_of_a_few_edits(spark, crowd):
+    from planeforge.llm import near_copies
+
+    rng = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(2000)]
+    texts = [None, "", " ", "a b", "A  b", "a b c"]
+    for n in (40, 80, 150, 400):
+        for _ in range(6):
+            base = [rng.choice(vocabulary) for _ in range(n)]
+            texts.append(" ".join(base))
+            for edits in (1, 2, 4):
+                some = list(base)
+                for at in rng.sample(range(n), edits):
+                    some[at] = rng.choice(vocabulary)
+                texts.append(" ".join(some))
+    hub = [rng.choice(vocabulary) for _ in range(200)]
+    for i in range(60):  # one large group
+        texts.append(" ".join([*hub[:i], "new", *hub[i + 1 :]]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    kept = near_copies.keep_one(docs, crowd=crowd)
+    assert kept.columns == docs.columns
+    want = similar_components(texts, range(len(texts)))
+    got = [r.doc_id for r in kept.collect()]
+    assert sorted(got) == sorted(want)
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()) == sorted(want)
