@@ -2,7 +2,8 @@
 
 All rules are compiled into one minimised transition array and every byte of a text is looked at once, whatever the
 number of rules. Where a run of possible ends stops, a small automaton of that rule, read backwards and bounded by the
-rule's span before, gives the leftmost start: so spans are leftmost and do not overlap, for each kind. A match that
+rule's span before, gives the leftmost start: so spans are leftmost and do not overlap, for each kind. A later end that the
+span before reaches too makes it longer, as the last line of a key does. A match that
 fails a kind's length still uses up its characters.
 
 Rows: every input row gives one output row, repeated and tied rows too; a null text is an empty one and has no spans;
@@ -30,7 +31,10 @@ RULES = {
     "github": r"gh[opsu]_[A-Za-z0-9]+",
     "slack": r"xox[abprs]-[A-Za-z0-9]+",
     "google": r"AIza[A-Za-z0-9_\-]+",
-    "private_key": r"-----BEGIN ([A-Z]+ ){0,2}PRIVATE KEY-----",
+    # The header, what an encrypted key says of itself, base64 lines (line ends may be written as \n), and the last line.
+    "private_key": r"-----BEGIN ([A-Z]+ ){0,2}PRIVATE KEY-----"
+    r"((\x0D?\x0A|\\n)Proc-Type: 4,ENCRYPTED(\x0D?\x0A|\\n)DEK-Info: [A-Z0-9\-]+,[A-Fa-f0-9]+)?"
+    r"([A-Za-z0-9+/=\x0D\x0A]|\\[nr])*(-----END ([A-Z]+ ){0,2}PRIVATE KEY-----)?",
 }
 #: Least characters of a whole match. Shorter ones are dropped, but use up their characters.
 LEAST = {"access": 20, "github": 40, "slack": 15, "google": 39}
@@ -52,10 +56,18 @@ class Scanner:
             return []
         data = text.encode()
         out, before = [], [0] * len(self.kinds)
+        last = [0] * len(self.kinds)  # where the span before starts
         for end, fell in self.all.ends(data):
             for k in range(len(self.kinds)):
-                if fell >> k & 1 and (start := self.back[k].furthest(data, end, before[k])) is not None:
-                    before[k] = end
+                if not fell >> k & 1:
+                    continue
+                start = self.back[k].furthest(data, end, last[k]) if before[k] else None
+                if start is not None and start == last[k]:  # the span before goes on after bytes that end nothing
+                    out = [x for x in out if x[0] != start or x[2] != k]
+                else:
+                    start = self.back[k].furthest(data, end, before[k])
+                if start is not None:
+                    before[k], last[k] = end, start
                     if end - start >= LEAST.get(self.kinds[k], 0) and (self.kinds[k] != "assign" or len(_VALUE.fullmatch(data, start, end)[1]) >= LEAST_VALUE):
                         out.append((start, end, k))
         if out and len(data) != len(text):
