@@ -140,3 +140,10 @@ def test_whole_private_keys_are_spans_and_go():
         assert [(a, b) for a, b, k in scanner.spans(text) if scanner.kinds[k] == "private_key"] == [(6, 6 + len(key))]
         assert scanner.redacted(text) == "é see [secret] and more"
     assert scanner.redacted(f"{cut}\n{plain}{plain} end") == "[secret][secret][secret] end"
+
+
+def test_a_stray_vote_hides_no_license(spark):
+    texts = ["Licensed under CC BY-SA (CC BY-SA 4.0)", "cc by sa " * 4000 + "licensed under cc by sa", "cc by sa " * 40]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.scan(df).collect()}
+    assert got == {0: ("cc-by-sa", 1.0), 1: ("cc-by-sa", 1.0), 2: ("", 0.0)}
