@@ -12,7 +12,8 @@ queries are dealt to blocks of about ``BLOCK`` vectors and ``CHUNK`` queries by
 with a third of all rows is many blocks, and a task handles one block with one chunk at a time.
 
 Rows: vectors that are null, of another length than most, zero, or hold null or non-finite components take no part.
-A repeated row is a candidate each time; rows with the query's own vec_id, or without one, are none. Equal distances are
+A repeated row is a candidate each time, but asked once: queries are the distinct (vec_id, vector), and a vec_id with two
+vectors gets k neighbours for each of them under its one query_id. Rows with the query's own vec_id, or without one, are none. Equal distances are
 ordered by vec_id. With fewer than k candidates all are returned; an empty table gives an empty table. Only the id and
 vector columns are read, so other columns and their names do not matter.
 """
@@ -40,7 +41,7 @@ SLACK = 3.0
 #: Share of the lists that is read where ``PROBES`` lists would be less. Vectors without clusters, such as the synthetic
 #: ones, need about this share for a recall of 0.95; clustered ones need far less.
 SHARE = 0.6
-RESULT = "query_id long, vec_id long, score double"
+RESULT = "ask long, query_id long, vec_id long, score double"
 
 
 @contextmanager
@@ -144,11 +145,12 @@ def search(vectors: DataFrame, chosen: str, id_col: str = "vec_id", vector_col:
     def pack(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         v = np.stack(group["v"].to_list())
         turned = b"".join(np.ascontiguousarray(c, np.float32).tobytes() for c in np.split(v @ turn, cuts, axis=1))
-        return pd.DataFrame({"list": [key[0]], "part": [key[1]], "ids": [group["vec_id"].to_numpy(np.int64).tobytes()], "v": [v.tobytes()], "turned": [turned]})
+        asks = group["ask"].to_numpy(np.int64).tobytes()
+        return pd.DataFrame({"list": [key[0]], "part": [key[1]], "asks": [asks], "ids": [group["vec_id"].to_numpy(np.int64).tobytes()], "v": [v.tobytes()], "turned": [turned]})
 
-    schema = "list int, part int, ids binary, v binary, turned binary"
+    schema = "list int, part int, asks binary, ids binary, v binary, turned binary"
     salted = dealt.join(F.broadcast(parts), "list").withColumn("part", F.pmod(F.xxhash64("row"), "blocks").cast("int"))
-    stored = materialize(salted.select("list", "part", "vec_id", "v").groupBy("list", "part").applyInPandas(pack, schema), "blocks")
+    stored = materialize(salted.select("list", "part", F.col("row").alias("ask"), "vec_id", "v").groupBy("list", "part").applyInPandas(pack, schema).drop("asks"), "blocks")
 
     probes = max(PROBES, int(np.ceil(SHARE * lists)))
 
@@ -161,16 +163,17 @@ def search(vectors: DataFrame, chosen: str, id_col: str = "vec_id", vector_col:
             reach = np.cumsum(held[near], axis=1)
             # The nearest lists, and further ones until k others are among them.
             n_lists = np.maximum(min(probes, len(filled)), 1 + (reach <= k).sum(1))
-            for name, v, own, m in zip(batch["vec_id"], batch["v"], near, n_lists, strict=True):
+            for ask, name, v, own, m in zip(batch["ask"], batch["vec_id"], batch["v"], near, n_lists, strict=True):
                 own = own[:m]
-                yield pd.DataFrame({"list": own.astype(np.int32), "vec_id": name, "v": [v] * len(own)})
+                yield pd.DataFrame({"list": own.astype(np.int32), "ask": ask, "vec_id": name, "v": [v] * len(own)})
 
-    asked = dealt.where(chosen).select("vec_id", "v").mapInPandas(probe, "list int, vec_id long, v array<double>")
+    once = dealt.where(chosen).groupBy("vec_id", "v").agg(F.min("row").alias("ask"))
+    asked = once.select("ask", "vec_id", "v").mapInPandas(probe, "list int, ask long, vec_id long, v array<double>")
     asked = materialize(asked, "queries")
     chunks = asked.groupBy("list").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
-    own_chunk = asked.join(F.broadcast(chunks), "list").withColumn("part", F.pmod(F.xxhash64("vec_id"), "chunks").cast("int"))
-    packed = own_chunk.select("list", "part", "vec_id", "v").groupBy("list", "part").applyInPandas(pack, schema)
-    packed = packed.select("list", *[F.col(c).alias(f"q_{c}") for c in ("ids", "v", "turned")])
+    own_chunk = asked.join(F.broadcast(chunks), "list").withColumn("part", F.pmod(F.xxhash64("ask"), "chunks").cast("int"))
+    packed = own_chunk.select("list", "part", "ask", "vec_id", "v").groupBy("list", "part").applyInPandas(pack, schema)
+    packed = packed.select("list", *[F.col(c).alias(f"q_{c}") for c in ("asks", "ids", "v", "turned")])
     packed = packed.join(F.broadcast(parts), "list").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
     tiles = packed.join(stored, ["list", "part"])
 
@@ -185,11 +188,12 @@ def search(vectors: DataFrame, chosen: str, id_col: str = "vec_id", vector_col:
                 q_ids, q_v = np.frombuffer(row.q_ids, np.int64), np.frombuffer(row.q_v).reshape(-1, d)
                 found = [scan_block(ids, v, columns, name, query, query @ turn, k) for name, query in zip(q_ids, q_v, strict=True)]
                 near, score = map(np.concatenate, zip(*found, strict=True))
-                yield pd.DataFrame({"query_id": np.repeat(q_ids, [len(x) for x, _ in found]), "vec_id": near, "score": score})
+                sizes = [len(x) for x, _ in found]
+                yield pd.DataFrame({"ask": np.repeat(np.frombuffer(row.q_asks, np.int64), sizes), "query_id": np.repeat(q_ids, sizes), "vec_id": near, "score": score})
 
     with batches_of(spark, 32):
-        best = materialize(tiles.select("ids", "v", "turned", "q_ids", "q_v").mapInPandas(measure, RESULT), "tiles")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
+        best = materialize(tiles.select("ids", "v", "turned", "q_asks", "q_ids", "q_v").mapInPandas(measure, RESULT), "tiles")
+    rank = F.row_number().over(Window.partitionBy("ask").orderBy("score", "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

@@ -270,3 +270,15 @@ def test_pipeline_stage_drops_copies_of_a_few_edits(spark, crowd):
     got = [r.doc_id for r in kept.collect()]
     assert sorted(got) == sorted(want)
     assert sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()) == sorted(want)
+
+
+def test_a_repeated_query_row_keeps_its_ten_neighbours(spark):
+    rng = np.random.default_rng(4)
+    v = rng.standard_normal((300, 12))
+    table = [(i, [float(x) for x in row]) for i, row in enumerate(v)]
+    other = (200, [float(x) for x in rng.standard_normal(12)])
+    df = spark.createDataFrame([*table, table[100], table[100], other], "vec_id long, embedding array<double>").repartition(3)
+    got = Counter((r.query_id, r["rank"]) for r in neighbours.search(df, "vec_id % 100 = 0").collect())
+    assert got == Counter({(q, k): 1 + (q == 200) for q in (0, 100, 200) for k in range(1, 11)})
+    own = {r.vec_id for r in neighbours.search(df, "vec_id = 100").collect()}
+    assert len(own) == 10
