@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe_trie import op5_bpe_trie
+from .collocations import OP11_SQL, op11_collocations
 from .cotraining import op1_cotraining
 from .licenses import OP10_SQL, op10_license_scan
 from .neighbours import op9_neighbours
@@ -32,9 +33,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_counts,
         op9_neighbours,
         op10_license_scan,
+        op11_collocations,
         op12_importance_resampling,
         op13_url_filter,
     )
 }
 
-ORACLES: dict[str, str] = {"op3_quality_rules": OP3_SQL, "op10_license_scan": OP10_SQL, "op13_url_filter": OP13_SQL}
+ORACLES: dict[str, str] = {"op3_quality_rules": OP3_SQL, "op10_license_scan": OP10_SQL, "op11_collocations": OP11_SQL, "op13_url_filter": OP13_SQL}
