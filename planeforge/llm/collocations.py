@@ -9,7 +9,7 @@ All further work is on blocks; a text is read once.
    fills by direct address; all others are lists sorted by (tile, cell) whose runs are counted. What leaves a block is one
    row for each different pair, so the hottest pair is one row a block, and Spark adds the blocks' counts up in a window that
    leaves frequent pairs with their blocks: every pair is shuffled once.
-3. Pairs that come often enough are re-ranked by frequency and sent to the blocks that hold them, where they are the phrases
+3. Pairs that come often enough are re-ranked, in classes of about equal frequency, and sent to the blocks that hold them, where they are the phrases
    of the next level; a block keeps their places only. A phrase's parts come at least as often as the phrase, so nothing else can be part of a longer one.
 
 The score of a cut needs the counts of its two parts, which are frequent phrases too: an equality join, salted, as one word
@@ -33,7 +33,6 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.ranking import dense_index
 from .common import column, documents, materialize
 
 # Fixed values of the contract.
@@ -173,15 +172,51 @@ def _state(block, places: np.ndarray, ranks: np.ndarray, lasts: np.ndarray | Non
     return pd.DataFrame([row], columns=["block", "lang", "steps", "ranks", "lasts"])
 
 
-def _ranked(counts: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Rows with their rank by count in the language, from 1; written."""
-    out = dense_index(counts, ["lang"], [F.desc("n"), *keys], "at").withColumn("rank", F.col("at") + 1).drop("at")
-    return materialize(out, name)
+def _frequent(rows: DataFrame, keys: list[str], least: int, name: str) -> DataFrame:
+    """``rows(block, number, lang, *keys, n)`` of the keys that come ``least`` times in all, with that count and a rank; written.
 
+    Rows meet once, by key. Each task numbers its keys within classes of about equal count while they pass; the largest
+    number of any task in each class, a few hundred rows a language, tells where a class begins. So ranks from 1 follow
+    the classes from the most frequent down and no two keys share one, but no row moves again to get its rank.
+    """
 
-def _known(state: DataFrame, found: DataFrame, fields: list[str]) -> DataFrame:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: dict[tuple, int] = {}
+        part, last, number, kind = TaskContext.get().partitionId(), None, -1, -1
+        for batch in batches:
+            if not len(batch):
+                continue
+            own = batch[["lang", *keys]]
+            fresh = (own != own.shift()).any(axis=1).to_numpy()
+            fresh[0] = tuple(own.iloc[0]) != last
+            last = tuple(own.iloc[-1])
+            total = batch["n"].to_numpy(np.int64)
+            power = np.maximum(np.floor(np.log2(total)).astype(np.int64), 3)
+            classes = power * 8 + (total >> (power - 3))
+            numbers, kinds, starts = np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int64), np.flatnonzero(fresh)
+            numbers[: starts[0] if len(starts) else None], kinds[: starts[0] if len(starts) else None] = number, kind
+            ends = np.append(starts[1:], len(batch))
+            for start, end, lang, c in zip(starts.tolist(), ends.tolist(), batch["lang"].to_numpy()[starts], classes[starts].tolist(), strict=True):
+                number = seen.get((lang, c), 0)
+                seen[lang, c], kind = number + 1, c
+                numbers[start:end], kinds[start:end] = number, c
+            yield batch.assign(part=part, kind=kinds, nth=numbers)
+
+    whole = F.sum("n").over(Window.partitionBy("lang", *keys))
+    often = rows.withColumn("n", whole).where(F.col("n") >= least)
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in often.schema)
+    often = materialize(often.mapInPandas(run, fields + ", part long, kind long, nth long"), name)
+    parts = (often.agg(F.max("part")).first()[0] or 0) + 1
+    most = often.groupBy("lang", "kind").agg((F.max("nth") + 1).alias("most"))
+    before = F.coalesce(F.sum("most").over(Window.partitionBy("lang").orderBy(F.desc("kind")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    begins = materialize(most.select("lang", "kind", before.alias("before")), "classes")
+    rank = (F.col("before") + F.col("nth")) * parts + F.col("part") + 1
+    return often.join(begins, ["lang", "kind"]).select("block", "number", "lang", *keys, "n", rank.alias("rank"))
+
+
+def _known(state: DataFrame, found: DataFrame) -> DataFrame:
     """``state`` with the frequent entries of each block, which its own dictionary bounds; a block without any goes."""
-    sent = found.groupBy("block").agg(*[F.collect_list(c).alias(f"of_{c}") for c in fields])
+    sent = found.groupBy("block").agg(F.collect_list("number").alias("of_number"), F.collect_list("rank").alias("of_rank"))
     return state.join(sent.hint("merge"), "block")
 
 
@@ -198,68 +233,66 @@ def _start(blocks: DataFrame, found: DataFrame) -> DataFrame:
                 places = np.flatnonzero(ranks)
                 yield _state(r, places, ranks[places], None)
 
-    joined = _known(blocks.select("block", "lang", "stream"), found, ["number", "rank"])
+    joined = _known(blocks.select("block", "lang", "stream"), found)
     return materialize(joined.mapInPandas(run, _STATE), "state-1")
 
 
-def _count(state: DataFrame, least: int, level: int, side: int, dense: int) -> DataFrame:
-    """(block, lang, a, b, n): the pairs of each block that come ``least`` times in all, with that count; written."""
+def _count(state: DataFrame, side: int, dense: int) -> DataFrame:
+    """(block, number, lang, a, b, n): the different pairs of each block."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for r in batch.itertuples():
                 a, b, n = tiled(*_pairs(r)[1:], side, dense)
-                yield pd.DataFrame({"block": r.block, "lang": r.lang, "a": a, "b": b, "n": n})
+                yield pd.DataFrame({"block": r.block, "number": np.arange(len(a)), "lang": r.lang, "a": a, "b": b, "n": n})
 
-    pairs = state.mapInPandas(run, "block long, lang string, a long, b long, n long")
-    whole = F.sum("n").over(Window.partitionBy("lang", "a", "b"))
-    return materialize(pairs.withColumn("n", whole).where(F.col("n") >= least), f"pairs-{level}")
+    return state.mapInPandas(run, "block long, number long, lang string, a long, b long, n long")
 
 
-def _step(state: DataFrame, found: DataFrame, level: int) -> DataFrame:
-    """The state of phrases of ``level`` words."""
+def _step(state: DataFrame, found: DataFrame, level: int, side: int, dense: int) -> DataFrame:
+    """The state of phrases of ``level`` words; ``found`` numbers pairs as ``_count`` does."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for r in batch.itertuples():
                 places, a, b = _pairs(r)
-                order = np.lexsort((r.of_b, r.of_a))
-                of_a, of_b, rank = r.of_a[order], r.of_b[order], r.of_rank[order]
+                of_a, of_b, _ = tiled(a, b, side, dense)
+                of_a, of_b, rank = of_a[r.of_number], of_b[r.of_number], r.of_rank
+                order = np.lexsort((of_b, of_a))
+                of_a, of_b, rank = of_a[order], of_b[order], rank[order]
                 # A pair as one number: the place of a among those of the block, times the width of b.
-                own, wide = np.unique(of_a), int(max(of_b.max(), b.max())) + 1
+                own, wide = np.unique(of_a), int(b.max()) + 1
                 at = np.minimum(np.searchsorted(own, a), len(own) - 1)
                 have, ask = np.searchsorted(own, of_a) * wide + of_b, at * wide + b
                 hit = np.minimum(np.searchsorted(have, ask), len(have) - 1)
                 good = (own[at] == a) & (have[hit] == ask)
                 yield _state(r, places[good], rank[hit[good]], b[good])
 
-    return materialize(_known(state, found, ["a", "b", "rank"]).mapInPandas(run, _STATE), f"state-{level}")
+    return materialize(_known(state, found).mapInPandas(run, _STATE), f"state-{level}")
 
 
 def frequent_phrases(docs: DataFrame, text_col: str, lang_col: str, longest: int, least: int, block: int, side: int, dense: int) -> tuple[DataFrame, DataFrame]:
-    """(lang, phrase, n) of all phrases of 1 to ``longest`` words that come ``least`` times, and (lang, all) words of a language."""
+    """(lang, phrase, n) of all phrases of 1 to ``longest`` words that come ``least`` times, and (lang, n) words of a language."""
     own = blocks(docs, text_col, lang_col, block)
-    each = own.select("lang", F.inline(F.arrays_zip("words", "counts"))).toDF("lang", "phrase", "n")
-    words = materialize(each.groupBy("lang", "phrase").agg(F.sum("n").alias("n")), "words")
-    sizes = materialize(words.groupBy("lang").agg(F.sum("n").alias("all")), "sizes")
-    single = _ranked(words.where(F.col("n") >= least), ["phrase"], "phrases-1").select("lang", "rank", "phrase", "n")
-    asked = own.select("block", "lang", F.posexplode("words").alias("number", "phrase")).join(single, ["lang", "phrase"])
-    state = _start(own, asked.select("block", (F.col("number") + 1).alias("number"), "rank"))
-    levels = [single]
+    sizes = own.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda x, y: x + y)).alias("n"))
+    each = own.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w"))
+    each = each.select("block", (F.col("at") + 1).cast("long").alias("number"), "lang", F.col("w.words").alias("phrase"), F.col("w.counts").alias("n"))
+    found = _frequent(each, ["phrase"], least, "words")
+    single = materialize(found.groupBy("lang", "rank", "phrase").agg(F.max("n").alias("n")), "phrases-1")
+    state, levels = _start(own, found), [single]
     for level in range(2, longest + 1):
-        pairs = _count(state, least, level, side, dense)
-        ranked = _ranked(pairs.groupBy("lang", "a", "b").agg(F.max("n").alias("n")), ["a", "b"], f"ranked-{level}").select("lang", "a", "b", "n", "rank")
+        found = _frequent(_count(state, side, dense), ["a", "b"], least, f"pairs-{level}")
+        different = found.groupBy("lang", "a", "b", "rank").agg(F.max("n").alias("n"))
         head = levels[-1].select("lang", F.col("rank").alias("a"), F.col("phrase").alias("head"))
         tail = single.select("lang", F.col("rank").alias("b"), F.col("phrase").alias("tail"))
-        named = ranked.join(head, ["lang", "a"]).join(tail, ["lang", "b"])
+        named = different.join(head, ["lang", "a"]).join(tail, ["lang", "b"])
         levels.append(materialize(named.select("lang", "rank", F.concat_ws(" ", "head", "tail").alias("phrase"), "n"), f"phrases-{level}"))
         if level < longest:
-            found = pairs.select("block", "lang", "a", "b").join(ranked.drop("n"), ["lang", "a", "b"])
-            state = _step(state, found.select("block", "a", "b", "rank"), level)
+            state = _step(state, found, level, side, dense)
     known = levels[0].select("lang", "phrase", "n")
     for phrases in levels[1:]:
         known = known.unionAll(phrases.select("lang", "phrase", "n"))
-    return known, sizes
+    return known, materialize(sizes, "sizes")
 
 
 def _salted(df: DataFrame) -> DataFrame:
@@ -289,7 +322,7 @@ def collocations(
     parts = _salted(known)
     cuts = cuts.join(parts.select("lang", "salt", F.col("phrase").alias("first"), F.col("n").alias("l")), ["lang", "salt", "first"])
     cuts = cuts.join(parts.select("lang", "salt", F.col("phrase").alias("rest"), F.col("n").alias("r")), ["lang", "salt", "rest"])
-    cuts = cuts.join(_salted(sizes.withColumnRenamed("all", "n")), ["lang", "salt"])
+    cuts = cuts.join(_salted(sizes), ["lang", "salt"])
     score = F.expr("(cast(1000 as decimal(4, 0)) * (cast(a as decimal(16, 0)) * cast(n as decimal(16, 0)))) div (cast(l as decimal(16, 0)) * cast(r as decimal(16, 0)))")
     cuts = cuts.withColumn("score", score)
     scored = cuts.groupBy("lang", "phrase", "a", "n", "salt").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
