@@ -1,6 +1,6 @@
-"""Encoding with the public tokenizers, chunk by chunk.
+"""Encoding with the public tokenizers.
 
-A text is cut at white space where both tokenizers are known to begin anew, and every distinct chunk is encoded by
+For the tokenizer that drops white space a text is cut there, where it begins anew, and every distinct chunk is encoded by
 the ``tokenizers`` library once per worker. The ids of a text are the ids of its chunks in order, exactly those of the
 library over the whole text (``tests/llm`` compares them). The memory of encoded chunks is bounded: two generations
 of ``GENERATION`` chunks, the older of which is dropped when the younger is full.
@@ -21,6 +21,8 @@ _UNEVEN = re.compile(r"\s\s|^\s|\s$")
 _SPACE = re.compile(r"\s")
 #: ASCII marks, but for those that may begin or end a special token or a contraction.
 MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
+#: Fixed value: what the byte-level tokenizer takes as one pre-token.
+PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: A space before anything but white space begins a pre-token of the byte-level tokenizer.
 _BEFORE_WORD = re.compile(r" (?=\S)")
 
@@ -74,14 +76,12 @@ def byte_chunks(text: str) -> list[str]:
 
 
 class Encoder:
-    """Ids of whole texts as little-endian unsigned 16-bit numbers; both vocabularies are below 65 536."""
+    """Ids of whole texts by a tokenizer that drops white space, as little-endian unsigned 16-bit numbers."""
 
-    def __init__(self, path: str, words: bool) -> None:
+    def __init__(self, path: str) -> None:
         self.tokenizer = load(path)
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("the vocabulary does not fit 16 bits")
-        self.words = words
-        self.cut = word_chunks if words else byte_chunks
         self.memory = Memory(self._ids)
 
     def _ids(self, chunk: str) -> bytes:
@@ -95,7 +95,7 @@ class Encoder:
         if body and len(body) < len(chunk) and body[-1] < "\u0250" and body[-1].isalpha():
             # A letter and a mark after it never share a pre-token.
             return (*self._plain(body), chunk[len(body) :])
-        if self.words and chunk.isascii() and "<" not in chunk:
+        if chunk.isascii() and "<" not in chunk:
             return (chunk.lower(),)
         return (chunk,)
 
@@ -103,14 +103,13 @@ class Encoder:
         """Encodes unknown chunks, those that cannot run into each other as one text."""
         parts = {c: self._plain(c) for c in chunks if c not in self.memory.old}
         new = [x for x in dict.fromkeys(x for ps in parts.values() for x in ps) if x not in self.memory and x not in self.memory.old]
-        bare = 0 if self.words else 1
-        apart = [x for x in new if len(x) > bare and (self.words or x[0] == " ") and not _SPACE.search(x, bare)]
+        apart = [x for x in new if x and not _SPACE.search(x)]
         known = dict.fromkeys(new)
         if apart:
-            joint = self.tokenizer.encode((" " if self.words else "").join(apart), add_special_tokens=False)
-            sizes = np.fromiter(map(len, apart), np.int64, len(apart)) + (1 if self.words else 0)
+            joint = self.tokenizer.encode(" ".join(apart), add_special_tokens=False)
+            sizes = np.fromiter(map(len, apart), np.int64, len(apart)) + 1
             starts = np.array(joint.offsets, np.int64).reshape(-1, 2)[:, 0]
-            cuts = np.searchsorted(starts, np.cumsum(sizes) - (1 if self.words else 0), "left") * 2
+            cuts = np.searchsorted(starts, np.cumsum(sizes) - 1, "left") * 2
             data, at = array("H", joint.ids).tobytes(), 0
             for x, end in zip(apart, cuts.tolist(), strict=True):
                 known[x] = data[at:end]
@@ -124,7 +123,7 @@ class Encoder:
     def packed(self, text: str | None) -> bytes:
         if not text:
             return b""
-        chunks = self.cut(text)
+        chunks = word_chunks(text)
         found = list(map(self.memory.get, chunks))
         if None not in found:
             return b"".join(found)
@@ -135,17 +134,59 @@ class Encoder:
         return np.frombuffer(self.packed(text), "<u2").astype("<u4")
 
 
-_ENCODERS: dict[tuple[str, bool], Encoder] = {}
+class ByteEncoder:
+    """Ids of whole texts by the byte-level tokenizer, as little-endian unsigned 16-bit numbers.
+
+    Vocabulary and merges are those of the tokenizer's own file, applied by the faster of the two installed libraries; a text
+    with a special token goes to the other one. Tests hold the ids against it. Nothing is kept between texts.
+    """
+
+    def __init__(self, path: str) -> None:
+        import tiktoken
+        from tokenizers import pre_tokenizers
+
+        self.tokenizer = load(path)
+        if self.tokenizer.get_vocab_size() > 1 << 16:
+            raise ValueError("the vocabulary does not fit 16 bits")
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # The letter that the vocabulary has for each byte: printable bytes are their own, the others follow from 256 on.
+        letters, spare = {}, 256
+        alphabet = set(pre_tokenizers.ByteLevel.alphabet())
+        for byte in range(256):
+            own = chr(byte)
+            if own not in alphabet:
+                own, spare = chr(spare), spare + 1
+            letters[own] = byte
+        ranks = {bytes(map(letters.__getitem__, token)): rank for token, rank in self.tokenizer.get_vocab(False).items() if token not in self.special}
+        self.encoding = tiktoken.Encoding("bytes", pat_str=PRE_TOKENS, mergeable_ranks=ranks, special_tokens={})
+
+    def packed(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        if any(s in text for s in self.special):
+            return array("H", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        return array("H", self.encoding.encode_ordinary(text)).tobytes()
+
+    def ids(self, text: str | None) -> np.ndarray:
+        return np.frombuffer(self.packed(text), "<u2").astype("<u4")
 
 
-def encoder(path: str, words: bool) -> Encoder:
+_ENCODERS: dict[tuple[str, bool], Encoder | ByteEncoder] = {}
+
+
+def encoder(path: str, words: bool) -> Encoder | ByteEncoder:
     """One encoder for each tokenizer in a Python worker, kept from task to task."""
     key = (path, words)
     if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(path, words)
+        _ENCODERS[key] = (Encoder if words else ByteEncoder)(path)
     return _ENCODERS[key]
 
 
+def forget() -> None:
+    """Frees the encoders' memory in this Python worker, which turns to other work."""
+    _ENCODERS.clear()
+
+
 def public_path(name: str) -> str:
     import public_tokenizers
 
