@@ -10,6 +10,8 @@ from __future__ import annotations
 SIDE_MM = 100.0
 HALF_SIDE_MM = 50.0
 RESOLUTION = 300
+# Poses of a case that two ways of sampling are compared on.
+CONTROL_POSES = 64
 SPACING_MM = 10.0
 SPACING_TOLERANCE_MM = 1e-9
 RAY_LENGTH_MM = 100.0
