@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..contract import TANGENT_WINDOW_MM, UNIT_EPS
@@ -10,6 +12,9 @@ from ..session import materialize
 
 BLOCK = 1024
 BUCKET_MM = 10.0
+#: Targets in a cell of the nearest search, and the edge below which cells are not halved.
+LEAF = 64
+LEAST_CELL_MM = 1e-6
 
 
 def cumulative_length(line: DataFrame, keys: list[str]) -> DataFrame:
@@ -79,35 +84,55 @@ def tangents(cum: DataFrame, keys: list[str], window_mm: float = TANGENT_WINDOW_
     return chord.filter(F.col("n") >= UNIT_EPS).select(*keys, "seq", *[(F.col(f"c{a}") / F.col("n")).alias(f"t{a}") for a in "xyz"])
 
 
-def nearest(points: DataFrame, targets: DataFrame, keys: list[str], ids: list[str], order: str, start_mm: float = 8.0) -> DataFrame:
+def nearest(points: DataFrame, targets: DataFrame, keys: list[str], ids: list[str], order: str, start_mm: float = 8.0, leaf: int = LEAF) -> DataFrame:
     """Nearest target of each point, the smallest ``order`` on equal distance.
 
-    Points look into the 27 cells around them; a hit no farther than the cell
-    size is final, everyone else looks again with cells twice as large. Equal
-    target positions are folded beforehand.
+    Cells are halved until none holds more than ``leaf`` targets (equal positions are folded beforehand). Points look into
+    the 27 cells around them; a hit no farther than the cell size is final. Everyone else goes down from the few coarsest
+    cells: each cell has one target as its representative, whose distance bounds the point's nearest from above, and only
+    cells that are nearer than the bound are opened. So a far point meets a few cells a level, not all targets.
     """
+    f3 = ("fx", "fy", "fz")
     t = targets.groupBy(*keys, "x", "y", "z").agg(F.min(order).alias(order)).select(
         *keys, order, *[F.col(a).alias(f"f{a}") for a in "xyz"])
     t = materialize(t, "nearest-targets")
     open_ = materialize(points.select(*keys, *ids, "x", "y", "z").join(t.select(*keys).distinct(), keys, "left_semi"), "nearest-open")
     size = start_mm
-    parts = []
-    f3 = ("fx", "fy", "fz")
-    while True:
-        left = with_cell(open_, ("x", "y", "z"), size)
-        right = with_near_cells(t, f3, size)
-        best = left.join(right, [*keys, *CELL]).groupBy(*keys, *ids).agg(
-            F.min(F.struct(distance(("x", "y", "z"), f3).alias("d"), order, *f3)).alias("b"))
-        state = materialize(open_.join(best, [*keys, *ids], "left"), "nearest")
-        hit = F.col("b").isNotNull() & (F.col("b.d") <= size)
-        parts.append(state.filter(hit).select(
-            *keys, *ids, F.col("b.d").alias("distance_mm"), F.col(f"b.{order}").alias(order),
-            *[F.col(f"b.f{a}").alias(f"m{a}") for a in "xyz"]))
-        open_ = state.filter(~F.coalesce(hit, F.lit(False))).select(*keys, *ids, "x", "y", "z")
-        if open_.isEmpty():
-            break
-        size *= 2.0
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    while size > LEAST_CELL_MM and not with_cell(t, f3, size).groupBy(*keys, *CELL).count().filter(F.col("count") > leaf).isEmpty():
+        size /= 2.0
+
+    def found(rows: DataFrame) -> DataFrame:
+        return rows.select(*keys, *ids, F.col("b.d").alias("distance_mm"), F.col(f"b.{order}").alias(order), *[F.col(f"b.f{a}").alias(f"m{a}") for a in "xyz"])
+
+    def closest(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*keys, *ids).agg(F.min(F.struct(distance(("x", "y", "z"), f3).alias("d"), order, *f3)).alias("b"))
+
+    near = closest(with_cell(open_, ("x", "y", "z"), size).join(with_near_cells(t, f3, size), [*keys, *CELL]))
+    state = materialize(open_.join(near, [*keys, *ids], "left"), "nearest")
+    hit = F.coalesce(F.col("b.d") <= size, F.lit(False))
+    far = state.filter(~hit).select(*keys, *ids, "x", "y", "z", F.coalesce("b.d", F.lit(float("inf"))).alias("bound"))
+    if far.isEmpty():
+        return found(state)
+
+    def cells(level: int) -> DataFrame:
+        """Cells of ``size`` times a power of two with their representative and parent."""
+        at = with_cell(t, f3, size * 2.0**level).groupBy(*keys, *CELL).agg(F.min(F.struct(order, *f3)).alias("r"))
+        return at.select(*keys, *CELL, *[F.col(f"r.{a}").alias(a) for a in f3], *[F.floor(F.col(c) / 2).cast("long").alias(f"up_{c}") for c in CELL])
+
+    def opened(pairs: DataFrame, level: int) -> DataFrame:
+        """Of the rows of points and cells those that may hold the nearest target."""
+        edge = size * 2.0**level
+        gap = sum(g * g for g in (F.greatest(F.col(c) * edge - F.col(a), F.col(a) - (F.col(c) + 1) * edge, F.lit(0.0)) for c, a in zip(CELL, "xyz")))
+        best = F.least("bound", F.min(distance(("x", "y", "z"), f3)).over(W.partitionBy(*keys, *ids)))
+        kept = pairs.withColumn("bound", best).filter(F.sqrt(gap) <= F.col("bound") + 1e-9)
+        return materialize(kept.select(*keys, *ids, "x", "y", "z", "bound", *CELL), "nearest-cells")
+
+    span = t.agg(F.greatest(*[F.max(a) - F.min(a) for a in f3])).first()[0]
+    level = max(0, math.ceil(math.log2(max(span / size, 1.0))))
+    pairs = opened(far.join(cells(level), keys), level)
+    while level:
+        level -= 1
+        up = pairs.select(*keys, *ids, "x", "y", "z", "bound", *[F.col(c).alias(f"up_{c}") for c in CELL])
+        pairs = opened(up.join(cells(level), [*keys, *[f"up_{c}" for c in CELL]]), level)
+    last = closest(pairs.join(with_cell(t, f3, size), [*keys, *CELL]))
+    return found(state.filter(hit)).unionByName(found(last))
