@@ -202,13 +202,20 @@ def itr4(spark, sf):
 
 
 @query("itr5_spur_pruning", f"""
-WITH s AS (SELECT case_id, count(*) FILTER (x <> 0) AS spurs, max(z) FILTER (x = 0) AS m FROM b_skeleton GROUP BY 1)
-SELECT case_id, CASE WHEN kept = 0 THEN 'ok' ELSE 'ok' END AS verdict, kept AS n_pruned, {s6("CASE WHEN kept > 0 THEN sqrt(3.0) * kept ELSE 0.0 END", "pruned_mm")}
-FROM (SELECT case_id, CAST(CASE WHEN m >= 12 THEN 1 ELSE 0 END AS BIGINT) AS kept FROM s)""")
+WITH n AS (SELECT case_id, z, y, x FROM b_skeleton),
+ d AS (SELECT a.case_id, a.z, a.y, a.x, count(b.z) AS degree FROM n a LEFT JOIN n b ON a.case_id = b.case_id
+  AND greatest(abs(a.z - b.z), abs(a.y - b.y), abs(a.x - b.x)) = 1 GROUP BY ALL),
+ t AS (SELECT e.case_id, sqrt((e.z - j.z) ** 2 + (e.y - j.y) ** 2 + (e.x - j.x) ** 2) * {K.VOXEL_PITCH_MM} AS l FROM d e JOIN d j ON e.case_id = j.case_id
+  AND greatest(abs(e.z - j.z), abs(e.y - j.y), abs(e.x - j.x)) = 1 AND e.degree = 1 AND j.degree > 2),
+ c AS (SELECT case_id, count(*) FILTER (degree > 2) AS joints FROM d GROUP BY case_id),
+ s AS (SELECT case_id, count(*) AS spurs, list_sort(list(l)) AS ls FROM t GROUP BY case_id)
+SELECT case_id, CASE WHEN joints = 0 THEN 'ok' WHEN len(ls) > 1 AND ls[2] - ls[1] <= 1e-9 THEN 'ambiguous' ELSE 'ok' END AS verdict,
+ CAST(CASE WHEN joints = 0 OR (len(ls) > 1 AND ls[2] - ls[1] <= 1e-9) THEN 0 ELSE spurs END AS BIGINT) AS n_pruned,
+ {s6("CASE WHEN joints = 0 OR (len(ls) > 1 AND ls[2] - ls[1] <= 1e-9) THEN 0.0::DOUBLE ELSE ls[1] END", "pruned_mm")}
+FROM c LEFT JOIN s USING (case_id)""")
 def itr5(spark, sf):
-    """One spur per case is kept from the bridge, so that the cut is unique."""
-    v = B.skeleton(spark, sf).filter("x = 0 or y = 9")
-    _, verdict = G.prune_spurs(v, CASE, K.VOXEL_PITCH_MM, K.MAX_SPUR_MM)
+    """Whole skeletons: where the two shortest spurs are equally long, the cut is not unique."""
+    _, verdict = G.prune_spurs(B.skeleton(spark, sf), CASE, K.VOXEL_PITCH_MM, K.MAX_SPUR_MM)
     return verdict.select("case_id", "verdict", "n_pruned", r6(F.col("pruned_mm")).alias("pruned_mm"))
 
 
@@ -284,10 +291,11 @@ def mesh_shells(spark, sf):
 
 
 @query("itr7_outward_winding", """
-SELECT mesh_id // 5 AS object_id, mesh_id % 5 * 12 + face_id AS face_id, (mesh_id % 7 = 0) <> (face_id = 3) AS turn, true AS orientable
-FROM b_mesh_face WHERE NOT (mesh_id % 11 = 3 AND face_id = 11) AND mesh_id % 11 <> 3""")
+SELECT mesh_id // 5 AS object_id, mesh_id % 5 * 12 + face_id AS face_id, CASE WHEN mesh_id % 11 = 3 THEN face_id = 3 ELSE (mesh_id % 7 = 0) <> (face_id = 3) END AS turn, true AS orientable
+FROM b_mesh_face WHERE NOT (mesh_id % 11 = 3 AND face_id = 11)""")
 def itr7(spark, sf):
-    return M.outward(objects(spark, sf), OBJ).filter("mesh_id % 11 <> 3").select("object_id", "face_id", "turn", "orientable")
+    """All shells; an open one has no outside, so its faces follow its first face."""
+    return M.outward(objects(spark, sf), OBJ).select("object_id", "face_id", "turn", "orientable")
 
 
 @query("top01_main_shell", f"""
