@@ -291,10 +291,12 @@ def mesh_shells(spark, sf):
 
 
 @query("itr7_outward_winding", """
-SELECT mesh_id // 5 AS object_id, mesh_id % 5 * 12 + face_id AS face_id, CASE WHEN mesh_id % 11 = 3 THEN face_id = 3 ELSE (mesh_id % 7 = 0) <> (face_id = 3) END AS turn, true AS orientable
-FROM b_mesh_face WHERE NOT (mesh_id % 11 = 3 AND face_id = 11)""")
+WITH v AS (SELECT mesh_id, sum(x0 * (y1 * z2 - z1 * y2) - y0 * (x1 * z2 - z1 * x2) + z0 * (x1 * y2 - y1 * x2)) AS volume
+ FROM b_triangle WHERE NOT (mesh_id % 11 = 3 AND face_id = 11) GROUP BY mesh_id)
+SELECT mesh_id // 5 AS object_id, mesh_id % 5 * 12 + face_id AS face_id, ((mesh_id % 7 = 0) <> (face_id = 3)) = (volume > 0) AS turn, true AS orientable
+FROM b_mesh_face JOIN v USING (mesh_id) WHERE NOT (mesh_id % 11 = 3 AND face_id = 11)""")
 def itr7(spark, sf):
-    """All shells; an open one has no outside, so its faces follow its first face."""
+    """All shells; an open one is turned by the sign of what its faces enclose with the origin."""
     return M.outward(objects(spark, sf), OBJ).select("object_id", "face_id", "turn", "orientable")
 
 
