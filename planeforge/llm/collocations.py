@@ -186,16 +186,19 @@ def _frequent(rows: DataFrame, keys: list[str], least: int, name: str) -> DataFr
         for batch in batches:
             if not len(batch):
                 continue
-            own = batch[["lang", *keys]]
-            fresh = (own != own.shift()).any(axis=1).to_numpy()
-            fresh[0] = tuple(own.iloc[0]) != last
-            last = tuple(own.iloc[-1])
+            own = [batch[c].to_numpy() for c in ("lang", *keys)]
+            fresh = np.zeros(len(batch), bool)
+            fresh[0] = tuple(c[0] for c in own) != last
+            for c in own:
+                fresh[1:] |= c[1:] != c[:-1]
+            last = tuple(c[-1] for c in own)
             total = batch["n"].to_numpy(np.int64)
             power = np.maximum(np.floor(np.log2(total)).astype(np.int64), 3)
             classes = power * 8 + (total >> (power - 3))
             numbers, kinds, starts = np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int64), np.flatnonzero(fresh)
-            numbers[: starts[0] if len(starts) else None], kinds[: starts[0] if len(starts) else None] = number, kind
-            ends = np.append(starts[1:], len(batch))
+            before = int(starts[0]) if len(starts) else len(batch)
+            numbers[:before], kinds[:before] = number, kind
+            ends = np.append(starts[1:], len(batch))[: len(starts)]  # one key may fill a whole batch
             for start, end, lang, c in zip(starts.tolist(), ends.tolist(), batch["lang"].to_numpy()[starts], classes[starts].tolist(), strict=True):
                 number = seen.get((lang, c), 0)
                 seen[lang, c], kind = number + 1, c

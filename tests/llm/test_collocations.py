@@ -51,6 +51,19 @@ def test_collocations_against_a_plain_version(spark, block, side, dense, size, m
     assert Counter(tuple(r) for r in got) == plain(table, 5, 4, 25)
 
 
+def test_a_key_may_fill_whole_batches(spark):
+    table = texts(7)
+    docs = spark.createDataFrame([(t, g) for g, t in table], "text string, lang string").repartition(3)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "2")
+    try:
+        got = collocations.collocations(docs, least=4, best=25, block=60).collect()
+    finally:
+        spark.conf.set(name, before)
+    assert Counter(tuple(r) for r in got) == plain(table, 5, 4, 25)
+
+
 def test_nothing_is_frequent_and_an_empty_table(spark):
     docs = spark.createDataFrame(rows(n=20), SCHEMA)
     assert collocations.collocations(docs, least=10**6).count() == 0
