@@ -235,6 +235,15 @@ class Automaton:
             out.append((i, live))
         return out
 
+    def after(self, data: bytes, start: int, end: int, state: int) -> int:
+        """The state after ``data[start:end]``."""
+        table, dead = self.table, self.dead
+        for i in range(start, end):
+            if state == dead:
+                break
+            state = table[state + data[i]]
+        return state
+
     def furthest(self, data: bytes, end: int, stop: int) -> int | None:
         """For a backwards automaton: the least start of a match that ends at ``end``, at or after ``stop``."""
         state, best = self.start, None

@@ -3,8 +3,9 @@
 All rules are compiled into one minimised transition array and every byte of a text is looked at once, whatever the
 number of rules. Where a run of possible ends stops, a small automaton of that rule, read backwards and bounded by the
 rule's span before, gives the leftmost start: so spans are leftmost and do not overlap, for each kind. A later end that the
-span before reaches too makes it longer, as the last line of a key does. A match that
-fails a kind's length still uses up its characters.
+span before reaches too makes it longer, as the last line of a key does; the rule's own automaton, kept at the span's end,
+tells so by the bytes in between alone, so a key of any number of escaped line ends takes time in proportion to its length.
+A match that fails a kind's length still uses up its characters.
 
 Rows: every input row gives one output row, repeated and tied rows too; a null text is an empty one and has no spans;
 an empty table gives an empty table. Only the id and text columns are read (``redact`` keeps all columns as they are
@@ -49,27 +50,40 @@ class Scanner:
         self.kinds = list(rules)
         self.all = Automaton(list(rules.values()))
         self.back = [Automaton([r], anywhere=False, backwards=True) for r in rules.values()]
+        self.on = [Automaton([r], anywhere=False) for r in rules.values()]
 
     def spans(self, text: str | None) -> list[tuple[int, int, int]]:
         """(start, end, kind) in code points, ordered; kind is the rule's place in the list."""
         if not text:
             return []
-        data = text.encode()
-        out, before = [], [0] * len(self.kinds)
-        last = [0] * len(self.kinds)  # where the span before starts
+        data, out = text.encode(), []
+        held: list[tuple[int, int] | None] = [None] * len(self.kinds)  # the last span of each kind; it may still grow
+        state, seen = [0] * len(self.kinds), [0] * len(self.kinds)  # of its rule from the span's start, up to which place
+
+        def leave(k: int) -> None:
+            start, end = held[k]
+            if end - start >= LEAST.get(self.kinds[k], 0) and (self.kinds[k] != "assign" or len(_VALUE.fullmatch(data, start, end)[1]) >= LEAST_VALUE):
+                out.append((start, end, k))
+
         for end, fell in self.all.ends(data):
             for k in range(len(self.kinds)):
                 if not fell >> k & 1:
                     continue
-                start = self.back[k].furthest(data, end, last[k]) if before[k] else None
-                if start is not None and start == last[k]:  # the span before goes on after bytes that end nothing
-                    out = [x for x in out if x[0] != start or x[2] != k]
-                else:
-                    start = self.back[k].furthest(data, end, before[k])
+                if held[k]:
+                    state[k] = self.on[k].after(data, seen[k], end, state[k])
+                    seen[k] = end
+                    if state[k] >= self.on[k].accepting:  # the span goes on after bytes that end nothing
+                        held[k] = held[k][0], end
+                        continue
+                start = self.back[k].furthest(data, end, held[k][1] if held[k] else 0)
                 if start is not None:
-                    before[k], last[k] = end, start
-                    if end - start >= LEAST.get(self.kinds[k], 0) and (self.kinds[k] != "assign" or len(_VALUE.fullmatch(data, start, end)[1]) >= LEAST_VALUE):
-                        out.append((start, end, k))
+                    if held[k]:
+                        leave(k)
+                    held[k], seen[k] = (start, end), end
+                    state[k] = self.on[k].after(data, start, end, self.on[k].start)
+        for k in range(len(self.kinds)):
+            if held[k]:
+                leave(k)
         if out and len(data) != len(text):
             out = [(len(data[:a].decode()), len(data[:b].decode()), k) for a, b, k in out]
         return sorted(out, key=lambda x: (x[0], x[2]))

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import duckdb
@@ -147,3 +148,12 @@ def test_a_stray_vote_hides_no_license(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: (r.labels, r.score) for r in licenses.scan(df).collect()}
     assert got == {0: ("cc-by-sa", 1.0), 1: ("cc-by-sa", 1.0), 2: ("", 0.0)}
+
+
+def test_long_keys_take_time_in_proportion():
+    body = "\\n".join(["Ab9/" * 16] * 16_000)
+    text = f"x -----BEGIN RSA PRIVATE KEY-----\\n{body}\\n-----END RSA PRIVATE KEY----- y"
+    started = time.monotonic()
+    found = [(a, b) for a, b, k in secrets.scanner(secrets.RULES).spans(text) if list(secrets.RULES)[k] == "private_key"]
+    assert found == [(2, len(text) - 2)]
+    assert len(text) > 1_000_000 and time.monotonic() - started < 30  # walking back from each line end takes a quarter of an hour
