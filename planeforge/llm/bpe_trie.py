@@ -30,15 +30,17 @@ from .common import column, documents, small_batches
 PIECE = 4_000_000
 #: Chunks, and words, kept in each of two generations in a Python worker.
 GENERATION = 250_000
+#: Letters of a prefix down to which its ids are kept with it; a longer one has a way back to them.
+DEEP = 64
 _SPACE = re.compile(r"\s")
 
 
 class Trie:
-    """Words as paths of symbols. Node 0 is the root; ``last`` and ``begin`` are the state of a node's prefix."""
+    """Words as paths of symbols. Node 0 is the root."""
 
     def __init__(self) -> None:
         self.children: list[dict[str, int]] = [{}]
-        self.ends: dict[int, list[str]] = {}
+        self.ends: dict[int, list[str]] = {}  # node of all but the last letter -> words
 
     def insert(self, word: str) -> None:
         node = 0
@@ -48,7 +50,7 @@ class Trie:
                 below[letter] = len(self.children)
                 self.children.append({})
             node = below[letter]
-        self.ends.setdefault(node, []).append(word[-1])
+        self.ends.setdefault(node, []).append(word)
 
 
 class Vocabulary:
@@ -63,7 +65,9 @@ class Vocabulary:
         self.rank = {tuple(m if isinstance(m, list) else m.split(" ")): i for i, m in enumerate(model["merges"])}
         self.packed = {t: i.to_bytes(2, "little") for t, i in self.ids.items()}
         self.tails = {t[k:] for t in self.ids for k in range(len(t))}
-        self.special = [x["content"] for x in file["added_tokens"]]
+        self.widest = max(map(len, self.ids))
+        # Tokens that are looked for in the text as it is, before anything else is cut.
+        self.special = {x["content"]: x["id"].to_bytes(2, "little") for x in file["added_tokens"]}
         self.apart = words.Memory(self._apart, 300_000)
         self.tokens = [b""] * (1 + max([*self.ids.values(), *(x["id"] for x in file["added_tokens"])]))
         for token, i in [*self.ids.items(), *((x["content"], x["id"]) for x in file["added_tokens"])]:
@@ -94,35 +98,50 @@ class Vocabulary:
             trie.insert(word)
         size = len(trie.children)
         last: list[str] = [""] * size  # last token of the prefix
-        done: list[bytes] = [b""] * size  # ids of the prefix
-        known, apart, tails = self.packed, self.apart, self.tails
+        done: list[bytes] = [b""] * size  # ids of the prefix, down to DEEP
+        back: dict[int, int] = {}  # below DEEP, the node before the last token
+        known, apart, tails, widest = self.packed, self.apart, self.tails, self.widest
         out: dict[str, bytes] = {}
         path: list[int] = [0]
         todo: list[tuple[int, int, str]] = [(0, 0, "")]
 
-        def state(prefix: str, mark: str, depth: int) -> tuple[str, bytes]:
+        def state(near: str, mark: str, depth: int) -> tuple[str, int]:
             # The text's ends that are tokens, while they are ends of tokens at all; the longest that fits is the one.
-            fitting, k = [], 1
-            while k <= depth and (token := prefix[depth - k :] + mark) in tails:
+            size, fitting, k = len(near), [], 1
+            while k <= size and (token := near[size - k :] + mark) in tails:
                 if token in known:
                     fitting.append((k, token))
                 k += 1
             for k, token in reversed(fitting):
                 start = path[depth - k]
                 if start == 0 or apart[last[start], token]:
-                    return token, done[start] + known[token]
-            raise ValueError(f"no token ends {prefix!r}")
+                    return token, start
+            raise ValueError(f"no token ends {near!r}")
 
+        # Of a prefix no more than twice the longest token's letters are carried along, and of a deep one the ids are read at its words' ends only.
         while todo:
-            node, depth, prefix = todo.pop()
+            node, depth, near = todo.pop()
             del path[depth:]
             path.append(node)
             if node:
-                last[node], done[node] = state(prefix, "", depth)
-            for letter in trie.ends.get(node, ()):
-                word = prefix + letter
-                out[word] = state(word, self.end, depth + 1)[1]
-            todo += [(child, depth + 1, prefix + letter) for letter, child in trie.children[node].items()]
+                last[node], start = state(near, "", depth)
+                if depth <= DEEP:
+                    done[node] = done[start] + known[last[node]]
+                else:
+                    back[node] = start
+            for word in trie.ends.get(node, ()):
+                token, start = state(near + word[-1], self.end, depth + 1)
+                ids = known[token]
+                if start in back:
+                    ids = [ids]
+                    while start in back:
+                        ids.append(known[last[start]])
+                        start = back[start]
+                    ids = b"".join(reversed(ids))
+                out[word] = done[start] + ids
+            if len(near) > 2 * widest:
+                near = near[-widest:]
+            todo += [(child, depth + 1, near + letter) for letter, child in trie.children[node].items()]
         return out
 
 
@@ -134,6 +153,7 @@ class TrieEncoder:
 
         self.vocabulary = Vocabulary(path)
         self.tokenizer = words.load(path)
+        self.special = re.compile("(" + "|".join(map(re.escape, self.vocabulary.special)) + ")" if self.vocabulary.special else r"(?!)")
         # The library's letters for the bytes that Latin letters beyond ASCII are made of.
         letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         latin = "".join(map(chr, range(0x80, 0x100)))
@@ -159,13 +179,12 @@ class TrieEncoder:
         self.chunks[""] = b""
         new = self._unknown(chunks, self.chunks, self.old_chunks)
         odd = [c for c in new if _SPACE.search(c) or any(s in c for s in self.vocabulary.special)]
-        for c in odd:
-            self.chunks[c] = np.asarray(self.tokenizer.encode(c, add_special_tokens=False).ids, "<u2").tobytes()
-        cut = {c: ws for c in new if (ws := self._plain(c))}
+        cut = {c: self._odd(c) for c in odd} | {c: ws for c in new if (ws := self._plain(c))}
         rest = [c for c in new if c not in cut and c not in self.chunks]
         for i in range(0, len(rest), 2000):
             cut |= zip(rest[i : i + 2000], self._words(rest[i : i + 2000]), strict=True)
         distinct = {w for ws in cut.values() for w in ws}
+        self.words |= self.vocabulary.special  # no cut word looks like one: marks and letters are never in one word
         self.words |= self.vocabulary.encode(set(self._unknown(distinct, self.words, self.old_words)))
         self.chunks |= {c: b"".join(map(self.words.__getitem__, ws)) for c, ws in cut.items()}
 
@@ -178,12 +197,22 @@ class TrieEncoder:
         low = low if low.isascii() else low.encode().decode("latin-1").translate(self.letters)
         return [x for x in (low, chunk[len(body) :]) if x]
 
+    def _odd(self, chunk: str) -> list[str]:
+        """The words of a chunk with other white space or with special tokens, which part it and are put in as they are."""
+        out = []
+        for piece in self.special.split(chunk):
+            if piece in self.vocabulary.special:
+                out.append(piece)
+            elif piece:
+                out += [w for w, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(piece))]
+        return out
+
     def _words(self, chunks: list[str]) -> list[list[str]]:
         """The words of each chunk. A space parts chunks: no rule of the tokenizer reaches across it."""
         normal = self.tokenizer.normalizer.normalize_str(" ".join(chunks))
         sizes = [len(x) for x in normal.split(" ")]
         if len(sizes) != len(chunks):  # a chunk that is normalised to white space: one by one
-            return [[w for w, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(c))] for c in chunks]
+            return [self._odd(c) for c in chunks]
         out, at, end = [[] for _ in chunks], 0, sizes[0]
         for word, (start, _) in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal):
             while start >= end:

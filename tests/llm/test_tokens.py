@@ -1,8 +1,10 @@
 import hashlib
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -195,3 +197,17 @@ def test_digests_of_the_queries(spark, tmp_path):
     assert {c: t for c, t in packing.op2_best_fit_packing(spark, str(tmp_path)).dtypes} == {
         "doc_id": "bigint", "piece": "int", "start": "bigint", "length": "bigint", "ids_crc32": "bigint", "sequence_id": "bigint", "offset": "bigint",
     }
+
+
+def test_long_words_and_other_white_space_go_through_the_trie():
+    path = words.public_path("word_bpe_49k.json")
+    library, own = words.load(path), bpe_trie.TrieEncoder(path)
+    own.tokenizer = SimpleNamespace(normalizer=library.normalizer, pre_tokenizer=library.pre_tokenizer)  # cannot encode
+    letters = "".join(chr(97 + k * k % 7919 % 26) for k in range(60_000))
+    texts = [letters, "a\tb\r\nc<|endoftext|>d e<|startoftext|><|endoftext|>\u3000x\n\n", "don't\tI'LL\u00a012.5", "\t", "<|endoftext|", "   x"]
+    tracemalloc.start()
+    found = [np.frombuffer(x, "<u2").tolist() for x in own.packed(texts)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert peak < 200 << 20  # all prefixes with their ids would take about 2 GB
