@@ -1,5 +1,7 @@
 import functools
+import math
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -164,6 +166,64 @@ def test_co_training_without_labels_and_with_odd_rows(spark, docs):
     assert cotraining.classify(nothing, both).count() == 0
 
 
+def plain_offers(rows, handed, seen=None):
+    """The offers of unlabelled ``rows(row, doc_id, text slots and weights, meta slots and weights)``, by sorting them all."""
+
+    def offers(views, taken):
+        odds = {r[0]: (views[0].odds(*r[2]), views[1].odds(*r[3])) for r in rows}
+        same = {}
+        for r in sorted(rows, key=lambda r: (r[1], r[0])):
+            same.setdefault(tuple(round(x, 9) for x in odds[r[0]]), []).append(r)
+        out = []
+        for receiver in (0, 1):
+            for label, sign in ((1.0, 1), (0.0, -1)):
+                free = [g[0] for g in same.values() if not any(r[0] in taken[receiver] for r in g)]
+                sure = [(sign * odds[r[0]][1 - receiver], r) for r in free]
+                sure = sorted((x for x in sure if x[0] >= math.log(cotraining.SURE / (1 - cotraining.SURE))), key=lambda x: (-round(x[0], 9), x[1][1]))
+                out += [cotraining.Offer(r[0], receiver, label, r[2], r[3]) for _, r in sure[:handed]]
+        if seen is not None:
+            seen.append([(o.row, o.receiver, o.label) for o in out])
+        return out
+
+    return offers
+
+
+def test_all_unlabelled_documents_are_searched_like_a_plain_version(spark, monkeypatch):
+    """Documents handed over in each round, and the weights, against co-training in one process; a third are copies."""
+    data = labelled(300)
+    data += [(300 + i, *data[7][1:]) for i in range(150)]
+    docs = spark.createDataFrame([r[:5] for r in data], "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    marks = {r[0]: float(r[5]) for r in data if r[0] % 3 == 0 and r[0] < 300}
+    labels = spark.createDataFrame([(k, int(v)) for k, v in marks.items()], "doc_id long, quality int")
+    table = cotraining.features(docs)
+    rows_of = {r.row: r.doc_id for r in table.collect()}
+    seen, wanted, searcher = [], [], cotraining.searcher
+
+    def watched(*args):
+        search = searcher(*args)
+
+        def offers(views, taken):
+            found = search(views, taken)
+            seen.append([(rows_of[o.row], o.receiver, o.label) for o in found])
+            return found
+
+        return offers
+
+    monkeypatch.setattr(cotraining, "searcher", watched)
+    model = cotraining.train(table, labels, handed=20)
+    rows = {r[0]: (cotraining.text_features(r[1]), cotraining.meta_features(r[1], r[2], r[3], float(r[4]))) for r in data}
+    views = [cotraining.Sparse([rows[i][k][0] for i in marks], [rows[i][k][1] for i in marks]) for k in (0, 1)]
+    held = np.array([zlib.crc32(str(i).encode()) % 10 < 3 for i in marks])
+    pool = [(i, i, *v) for i, v in rows.items() if i not in marks]
+    want = cotraining.co_train(*views, np.array(list(marks.values())), held, offers=plain_offers(pool, 20, wanted))
+    assert [sorted(x) for x in seen] == [sorted(x) for x in wanted] and len(wanted) == cotraining.ROUNDS
+    for receiver in (0, 1):
+        got = [x[0] for turn in wanted for x in turn if x[1] == receiver]
+        assert len(got) == len(set(got)) > 40  # no document is offered twice
+        assert len([i for i in got if data[i][1] == data[7][1]]) <= 1  # copies go once
+    assert np.abs(model.text.weights - want.text.weights).max() < 1e-6 and np.abs(model.joint - want.joint).max() < 1e-6
+
+
 def test_views_teach_each_other():
     """A view with few own labels improves by what the other hands over."""
     rng = np.random.default_rng(5)
@@ -173,17 +233,17 @@ def test_views_teach_each_other():
         return cotraining.Sparse([np.array([int(v if rng.random() > noise else 1 - v), 2 + int(rng.integers(50))]) for v in y], [np.array([0.9, 0.3])] * n)
 
     strong, weak = view(0.0), view(0.1)
-    labels = np.full(n, np.nan)
-    labels[:40] = y[:40]
-    held = np.arange(n) % 2 == 0
+    own = [cotraining.Sparse(v.slots[:40], v.weights[:40]) for v in (strong, weak)]
+    pool = [(i, i, (strong.slots[i], strong.weights[i]), (weak.slots[i], weak.weights[i])) for i in range(40, n)]
+    held = np.arange(40) % 2 == 0
     right = []
     for rounds in (0, 3):
-        model = cotraining.co_train(strong, weak, labels, held & (np.arange(n) < 40), rounds)
+        model = cotraining.co_train(*own, y[:40], held, rounds, plain_offers(pool, 28))
         p = np.array([model.scores((strong.slots[i], strong.weights[i]), (weak.slots[i], weak.weights[i])) for i in range(n)])
         right.append(((p > 0.5) == (y[:, None] > 0.5)).mean(0))
     assert right[1][1] >= right[0][1] and right[1][1] >= 0.88  # the weak view cannot pass 0.9
     assert right[1][2] >= 0.93
-    assert cotraining.co_train(strong, weak, np.ones(n), held) is None
+    assert cotraining.co_train(*own, np.ones(40), held) is None
 
 
 def test_pipeline_against_a_plain_version(spark, tmp_path):
