@@ -332,6 +332,53 @@ def test_pipeline_stage_drops_copies_of_a_few_edits(spark, crowd):
     assert sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()) == sorted(want)
 
 
+def test_close_pairs_among_texts_of_one_form_letter(spark):
+    """Pairs of similarity just above 0.8 in a family whose other pairs lie just below; keys are crowded at 8."""
+    from planeforge.llm import near_copies
+
+    rng = random.Random(11)
+    letter = [f"l{i}" for i in range(160)]
+    texts = []
+    for i in range(340):
+        own = [f"o{i}_{k}" for k in range(20)]
+        texts.append(letter + own)
+        if i % 6 == 0:  # a partner that shares some of what is its own
+            texts.append(letter + own[:4] + [f"p{i}_{k}" for k in range(16)])
+    texts = [" ".join(t) for t in texts]
+    rng.shuffle(texts)
+    want = similar_components(texts, range(len(texts)))
+    assert len(texts) - len(want) >= 55
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = [r.doc_id for r in near_copies.keep_one(docs, crowd=8).collect()]
+    assert sorted(got) == sorted(want)
+
+
+def test_near_copies_of_odd_rows(spark, docs):
+    from planeforge.llm import near_copies
+
+    assert near_copies.keep_one(spark.createDataFrame([], SCHEMA)).collect() == []
+    kept = near_copies.keep_one(docs)
+    assert kept.columns == docs.columns
+    table = rows()
+    found = [r.text for r in kept.collect()]
+    assert len(found) == len(similar_components([r[1] for r in table], range(len(table))))
+    assert sum(not (t or "").strip() for t in found) == 1  # texts without words are equal
+
+
+def test_shared_shingles_are_counted_over_ranges(monkeypatch):
+    from planeforge.llm import near_copies
+
+    rng = np.random.default_rng(3)
+    pool = rng.integers(-(1 << 63), (1 << 63) - 1, 900)
+    own = [np.unique(rng.choice(pool, n)) for n in (0, 1, 5, 400, 800, 800, 300, 2, 40, 600)]
+    want = [[len(np.intersect1d(a, b)) for b in own] for a in own]
+    for size in (1 << 20, 100):
+        monkeypatch.setattr(near_copies, "RANGE", size)
+        got = near_copies._common(own)
+        apart = ~np.eye(len(own), dtype=bool)
+        assert (got[apart] == np.array(want)[apart]).all()
+
+
 def test_a_repeated_query_row_keeps_its_ten_neighbours(spark):
     rng = np.random.default_rng(4)
     v = rng.standard_normal((300, 12))
