@@ -5,7 +5,8 @@ equality join on the hash, with the words themselves compared in the join, so a
 diagonal, the offset of text place and template place. Diagonals at most ``NEAR`` apart, which inserted or left-out words
 make of one occurrence, are merged; of a merged span every window of at most ``STRETCH`` times the template's length is
 tried, and one of them must hold ``COVER`` of the template's runs: so a stray vote next to an occurrence never hides it.
-Base phrases need every run on one diagonal. ``OP10_SQL`` rejects a longer merged span whole; texts with one differ there.
+Base phrases need every run on one diagonal.
+``OP10_SQL`` has the same rule.
 
 The templates are a fixed list, so their side of the join is broadcast, and its size is bounded whatever the texts are.
 The texts are read once; what is shuffled is one narrow row a document and the hits, dealt by row, so no license, source
@@ -128,18 +129,18 @@ WITH d AS (
   SELECT r, i - 1 AS pos, array_to_string(w[i:i + {RUN - 1}], ' ') AS words
   FROM (SELECT r, w, unnest(range(1, len(w) - {RUN - 2})) AS i FROM d WHERE len(w) >= {RUN})
 ), v AS (
-  SELECT r, template, label, base, runs, pos - place AS diagonal, list(DISTINCT place) AS places, min(pos) AS first, max(pos) AS last
-  FROM g JOIN t USING (words) GROUP BY ALL
+  SELECT r, template, label, base, runs, place, pos, pos - place AS diagonal FROM g JOIN t USING (words)
 ), n AS (
-  SELECT *, sum(fresh) OVER (PARTITION BY r, template ORDER BY diagonal) AS span
-  FROM (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY r, template ORDER BY diagonal)
+  SELECT *, sum(fresh) OVER (PARTITION BY r, template ORDER BY diagonal, pos) AS span
+  FROM (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY r, template ORDER BY diagonal, pos)
                             <= CASE WHEN base THEN 0 ELSE {NEAR} END THEN 0 ELSE 1 END AS fresh FROM v)
+), x AS (
+  SELECT *, count(DISTINCT place) OVER (PARTITION BY r, template, span ORDER BY pos
+                                        RANGE BETWEEN CURRENT ROW AND floor({STRETCH} * runs)::BIGINT - 1 FOLLOWING) AS inside FROM n
 ), s AS (
-  SELECT r, template, label, base, runs, len(list_distinct(flatten(list(places)))) AS held, min(first) AS first, max(last) AS last
-  FROM n GROUP BY r, template, label, base, runs, span
+  SELECT r, label, base, runs, max(inside) AS held, min(pos) AS first FROM x GROUP BY r, template, label, base, runs, span
 ), k AS (
-  SELECT *, held / runs AS share FROM s
-  WHERE CASE WHEN base THEN held = runs ELSE held / runs >= {COVER} AND last - first + 1 <= {STRETCH} * runs END
+  SELECT *, held / runs AS share FROM s WHERE CASE WHEN base THEN held = runs ELSE held / runs >= {COVER} END
 ), o AS (
   SELECT r, count(*) FILTER (base) AS n_base, min(first) FILTER (base) AS first_word, max(first) FILTER (base) AS last_word,
          string_agg(DISTINCT CASE WHEN base THEN label END, ',' ORDER BY CASE WHEN base THEN label END) AS base_labels,
