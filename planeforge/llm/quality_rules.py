@@ -5,10 +5,13 @@ ones share a bucket with numbers of the same first six binary digits. Adding cou
 order, so the result does not depend on partitions or on tasks that run again; sketches of a language and of the whole
 corpus are merged from those of (language, source). Partial aggregation bounds what any group sends, hot ones too.
 
-Each measure has a fence per language and source: the upper quartile plus three times the distance of the quartiles, or
-plus the measure's least margin if that is more (for word length also below the lower quartile). A group of fewer than
-``ENOUGH`` documents takes its language's fences, a small language the corpus'. A document is kept if it passes the
-base rules and lies within its fences. Windows of eight words are told apart by 64-bit hashes.
+Each measure has a fence per language and source: the upper quartile plus three times the distance of the quartiles, the
+group's own or its language's if that is wider (for word length also below the lower quartile). So a source that is mostly
+copies of one text, whose quartiles meet, does not shut out its other texts. Shares that are zero in nearly every text
+have quartiles of zero everywhere, and a fence of zero would reject any text with one such sign: they have a least margin
+besides. The fences of a group are weighted with those of its language, and these with the corpus', each counting as
+``PRIOR`` documents: no number of documents turns a group's verdicts at once. Windows of eight words are told apart by
+64-bit hashes: two windows of one text that differ are taken for equal with a chance of about 2**-64 for each pair.
 
 Rows: every input row gives one output row, repeated and tied rows too; a null text has no words and fails; null
 language and null source are groups of their own; an empty table gives an empty table. Only the id, text, language and
@@ -29,11 +32,11 @@ MOST_REPEATED = 30  # percent
 SPACE = "[ \\t\\n\\x0B\\f\\r]+"
 SYMBOLS = "[#*$%&|<>]"
 
-#: Documents from which a group has fences of its own.
-ENOUGH = 200
+#: Documents that the fences of a group's language, and of the corpus, count as.
+PRIOR = 50
 #: measure -> (least margin, whether there is a lower fence too); measures are whole numbers.
 FENCES = {
-    "word_length": (200, True),  # characters of 100 words
+    "word_length": (0, True),  # characters of 100 words
     "symbols": (300, False),  # in 1000 words
     "repeated": (300, False),  # words of 1000
     "double_lines": (500, False),  # lines of 1000
@@ -101,6 +104,11 @@ def _bucket_low(v: Column) -> Column:
     return F.call_function("shiftleft", F.call_function("shiftright", v, drop), drop)
 
 
+def _bucket_high(low: Column) -> Column:
+    """Greatest number of the bucket that begins with ``low``."""
+    return low + F.call_function("shiftleft", F.lit(1).cast("long"), F.greatest(F.length(F.bin(low)) - 6, F.lit(0))) - 1
+
+
 def fences(df: DataFrame, m: str, lang: Column, source: Column) -> DataFrame:
     """(lang, source, fences): for each measure the lowest and highest number that is kept."""
     values = F.explode(F.array(*[F.struct(F.lit(k).alias("measure"), _bucket_low(v).alias("low")) for k, v in _measures(F.col(m)).items()]))
@@ -119,19 +127,38 @@ def fences(df: DataFrame, m: str, lang: Column, source: Column) -> DataFrame:
         F.min(F.when(F.col("upto") * 4 >= F.col("total"), F.col("low"))).alias("q1"),
         F.min(F.when(F.col("upto") * 4 >= F.col("total") * 3, F.col("low"))).alias("q3"),
     )
-    least = F.create_map(*[F.lit(x) for k, v in FENCES.items() for x in (k, v[0])])[F.col("measure")]
-    margin = F.greatest(3 * (F.col("q3") - F.col("q1")), least)
+    quartiles = quartiles.withColumn("q3", _bucket_high(F.col("q3")))
+    limits = F.create_map(*[F.lit(x) for k, v in FENCES.items() for x in (k, v[0])])[F.col("measure")]
     below = F.create_map(*[F.lit(x) for k, v in FENCES.items() for x in (k, v[1])])[F.col("measure")]
-    bounds = quartiles.select(*key, "n", F.when(below, F.col("q1") - margin).otherwise(0).alias("least"), (F.col("q3") + margin).alias("most"))
-    wide = bounds.groupBy("level", "lang", "source").agg(F.max("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("measure", F.struct("least", "most")))).alias("f"))
-    # Of a group, its language and the corpus, the first with enough documents.
+    wide = quartiles.withColumn("below", below).withColumn("margin", limits.cast("long"))
+    wide = wide.groupBy("level", "lang", "source").agg(F.max("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("measure", F.struct("q1", "q3", "below", "margin")))).alias("f"))
+    # A group, its language and the corpus.
     none = F.lit(None).cast("string")
     levels = [F.struct(F.lit(k).alias("of"), a.alias("of_lang"), b.alias("of_source")) for k, a, b in ((0, F.col("lang"), F.col("source")), (1, F.col("lang"), none), (2, none, none))]
     wanted = own.select("lang", "source").distinct().select("lang", "source", F.inline(F.array(*levels)))
     wide = wide.withColumnsRenamed({"lang": "at_lang", "source": "at_source"})
     same = (F.col("of") == F.col("level")) & F.col("of_lang").eqNullSafe(F.col("at_lang")) & F.col("of_source").eqNullSafe(F.col("at_source"))
-    enough = wanted.join(wide, same).where((F.col("n") >= ENOUGH) | (F.col("level") == 2))
-    return materialize(enough.groupBy("lang", "source").agg(F.min_by("f", "level").alias("fences")), "fences")
+    three = wanted.join(wide, same).groupBy("lang", "source")
+    three = three.agg(*[F.any_value(F.when(F.col("level") == k, F.col(c)), True).alias(f"{c}{k}") for k in range(3) for c in ("n", "f")])
+    return materialize(three.select("lang", "source", F.map_from_entries(F.array(*[F.struct(F.lit(k), _weighted(k)) for k in FENCES])).alias("fences")), "fences")
+
+
+def _weighted(measure: str) -> Column:
+    """The fence of a row with the counts ``n0`` .. ``n2`` and the quartiles ``f0`` .. ``f2`` of its three levels."""
+    least, most = [], []
+    for k in range(3):
+        own, wider = F.col(f"f{k}")[measure], F.col(f"f{max(k, 1)}")[measure]
+        margin = F.greatest(3 * (own["q3"] - own["q1"]), 3 * (wider["q3"] - wider["q1"]), own["margin"])
+        least.append(F.when(own["below"], F.greatest(own["q1"] - margin, F.lit(0))).otherwise(0))
+        most.append(own["q3"] + margin)
+
+    def mixed(x: list[Column]) -> Column:
+        out = x[2]
+        for k in (1, 0):
+            out = F.call_function("div", F.col(f"n{k}") * x[k] + PRIOR * out, F.col(f"n{k}") + PRIOR)
+        return out
+
+    return F.struct(mixed(least).alias("least"), mixed(most).alias("most"))
 
 
 def judged(df: DataFrame, m: str, lang: Column, source: Column, verdict: str) -> DataFrame:
@@ -204,18 +231,24 @@ WITH d AS (
   FROM (SELECT *, sum(n) OVER (PARTITION BY level, lang, source, measure ORDER BY low) AS upto,
                sum(n) OVER (PARTITION BY level, lang, source, measure) AS total FROM s)
   GROUP BY ALL
+), h AS (
+  SELECT level, lang, source, measure, n, q1, q3 + (1::BIGINT << greatest(length(bin(q3)) - 6, 0)) - 1 AS q3 FROM q
 ), f AS (
-  SELECT level, lang, source, measure, n, CASE WHEN below THEN q1 - greatest(3 * (q3 - q1), margin) ELSE 0 END AS least,
-         q3 + greatest(3 * (q3 - q1), margin) AS most
-  FROM q JOIN (VALUES {_VALUES}) AS t(measure, margin, below) USING (measure)
+  SELECT h.level, h.lang, h.source, h.measure, h.n,
+         CASE WHEN below THEN greatest(h.q1 - greatest(3 * (h.q3 - h.q1), 3 * (c.q3 - c.q1), margin), 0) ELSE 0 END AS least,
+         h.q3 + greatest(3 * (h.q3 - h.q1), 3 * (c.q3 - c.q1), margin) AS most
+  FROM h JOIN (VALUES {_VALUES}) AS t(measure, margin, below) ON t.measure = h.measure
+  JOIN h AS c ON c.measure = h.measure AND c.level = greatest(h.level, 1) AND (h.level = 2 OR c.lang IS NOT DISTINCT FROM h.lang)
+), l AS (
+  SELECT l.lang, l.measure, (l.n * l.least + {PRIOR} * a.least) // (l.n + {PRIOR}) AS least, (l.n * l.most + {PRIOR} * a.most) // (l.n + {PRIOR}) AS most
+  FROM f AS l JOIN f AS a ON l.level = 1 AND a.level = 2 AND a.measure = l.measure
+), w AS (
+  SELECT g.lang, g.source, g.measure, (g.n * g.least + {PRIOR} * l.least) // (g.n + {PRIOR}) AS least, (g.n * g.most + {PRIOR} * l.most) // (g.n + {PRIOR}) AS most
+  FROM f AS g JOIN l ON g.level = 0 AND g.lang IS NOT DISTINCT FROM l.lang AND g.measure = l.measure
 ), bad AS (
   SELECT DISTINCT b.r
-  FROM b
-  JOIN f AS g ON g.level = 0 AND g.lang IS NOT DISTINCT FROM b.lang AND g.source IS NOT DISTINCT FROM b.source AND g.measure = b.measure
-  JOIN f AS h ON h.level = 1 AND h.lang IS NOT DISTINCT FROM b.lang AND h.measure = b.measure
-  JOIN f AS a ON a.level = 2 AND a.measure = b.measure
-  WHERE CASE WHEN g.n >= {ENOUGH} THEN b.v < g.least OR b.v > g.most
-             WHEN h.n >= {ENOUGH} THEN b.v < h.least OR b.v > h.most ELSE b.v < a.least OR b.v > a.most END
+  FROM b JOIN w ON w.lang IS NOT DISTINCT FROM b.lang AND w.source IS NOT DISTINCT FROM b.source AND w.measure = b.measure
+  WHERE b.v < w.least OR b.v > w.most
 )
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
        n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words,

@@ -91,8 +91,23 @@ def same(spark_df, sql, folder):
 def test_quality_rules_agree_with_sql(spark, folder, none, monkeypatch):
     same(quality_rules.op3_quality_rules(spark, folder), quality_rules.OP3_SQL, folder)
     assert quality_rules.op3_quality_rules(spark, none).count() == 0
-    monkeypatch.setattr(quality_rules, "ENOUGH", 30)  # groups with fences of their own
-    same(quality_rules.op3_quality_rules(spark, folder), quality_rules.OP3_SQL.replace("n >= 200", "n >= 30"), folder)
+    monkeypatch.setattr(quality_rules, "PRIOR", 3)  # groups count for more
+    same(quality_rules.op3_quality_rules(spark, folder), quality_rules.OP3_SQL.replace("50 *", "3 *").replace("+ 50)", "+ 3)"), folder)
+
+
+def test_fences_follow_their_group_and_copies_shut_nothing_out(spark):
+    rng = random.Random(4)
+
+    def text(low, high):
+        return " ".join("x" * rng.randint(low, high) for _ in range(60))
+
+    data = [(i, text(3, 7), "en", "short") for i in range(400)] + [(1000 + i, text(11, 15), "xx", "long") for i in range(400)]
+    copy = text(3, 7)
+    data += [(2000 + i, copy, "en", "copies") for i in range(300)] + [(3000 + i, text(3, 7), "en", "copies") for i in range(20)]
+    data += [(4000, text(11, 15), "en", "short"), (4001, text(3, 7), "xx", "long")]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string, source string")
+    gone = {r.doc_id for r in quality_rules.rules(df).where("not kept").collect()}
+    assert gone == {4000, 4001}
 
 
 def test_quality_rules_drop_junk_and_keep_prose(spark, folder):
@@ -143,11 +158,23 @@ def test_whole_private_keys_are_spans_and_go():
     assert scanner.redacted(f"{cut}\n{plain}{plain} end") == "[secret][secret][secret] end"
 
 
-def test_a_stray_vote_hides_no_license(spark):
+def test_a_stray_vote_hides_no_license(spark, tmp_path):
     texts = ["Licensed under CC BY-SA (CC BY-SA 4.0)", "cc by sa " * 4000 + "licensed under cc by sa", "cc by sa " * 40]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: (r.labels, r.score) for r in licenses.scan(df).collect()}
     assert got == {0: ("cc-by-sa", 1.0), 1: ("cc-by-sa", 1.0), 2: ("", 0.0)}
+    rng = random.Random(8)
+    passages = list(licenses.PASSAGES)
+    for _ in range(150):  # passages with words left out, put in and repeated, and pieces of them
+        own = rng.choice(passages).split(" ")
+        out = []
+        for _ in range(rng.randint(1, 4)):
+            low = rng.randrange(len(own))
+            out += own[0 if rng.random() < 0.5 else low :] if rng.random() < 0.6 else own[low : low + 4]
+            out = [w for w in out for w in ([w, "x"] if rng.random() < 0.04 else [] if rng.random() < 0.04 else [w])]
+        texts.append(" ".join(out))
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    same(licenses.op10_license_scan(spark, str(tmp_path)), licenses.OP10_SQL, str(tmp_path))
 
 
 def test_long_keys_take_time_in_proportion():
