@@ -156,14 +156,6 @@ def reconcile(root: DataFrame, state: DataFrame, key: list[str]) -> DataFrame:
     return j.select(*key, kind.alias("kind"))
 
 
-def pending(plan: DataFrame, done: DataFrame, key: list[str]) -> DataFrame:
-    return plan.join(done.select(*key), key, "left_anti")
-
-
-def stale(plan: DataFrame, done: DataFrame, key: list[str]) -> DataFrame:
-    return done.join(plan.select(*key), key, "left_anti")
-
-
 def field_mismatches(plan: DataFrame, done: DataFrame, key: list[str], fields: list[str], tolerance: dict[str, float] | None = None,
                      allowed_commits: list[str] | None = None) -> DataFrame:
     """Fields in which a finished row differs from its planned row."""

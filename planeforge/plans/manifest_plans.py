@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import contract as K
 from ..functions.digest import canonical, multiset_digest
 from ..functions.linalg import r6
-from ..operators import dedup as D, manifest as MF, poses as P
+from ..operators import dedup as D, manifest as MF, poses as P, progress as PR
 from ..session import stage
 from ..sources import bridges as B
 from ..sources.tables import table
@@ -353,26 +353,26 @@ CASE_POSE = ["case_id", *POSE]  # what one case has finished is open in all othe
 cte("b_done", "SELECT DISTINCT case_id, organ, point_index, roll, pitch, yaw FROM b_manifest")
 
 
-def done(spark, sf):
-    return B.manifest(spark, sf).select(*CASE_POSE[:2], F.col("point_index").cast("int").alias("point_index"), *CASE_POSE[3:]).distinct()
+def finished(spark, sf):
+    return B.manifest(spark, sf).select(*CASE_POSE[:2], F.col("point_index").cast("int").alias("point_index"), *CASE_POSE[3:])
 
 
 @query("jn11_pending_poses", """
 SELECT organ, count(*) AS n FROM b_pose p WHERE NOT EXISTS (SELECT 1 FROM b_done d WHERE d.case_id = p.case_id AND d.organ = p.organ AND d.point_index = p.point_index
  AND d.roll = p.roll AND d.pitch = p.pitch AND d.yaw = p.yaw) GROUP BY organ""")
 def jn11(spark, sf):
-    return MF.pending(all_poses(spark, sf).select(*CASE_POSE), done(spark, sf), CASE_POSE).groupBy("organ").agg(F.count(F.lit(1)).alias("n"))
+    return PR.pending(frames(spark, sf), finished(spark, sf), CASE_POSE[:3]).groupBy("organ").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("jn12_stale_ids", f"""
-SELECT {pose_id_sql()} AS slice_id FROM b_done d WHERE NOT EXISTS (SELECT 1 FROM b_pose p WHERE d.case_id = p.case_id AND d.organ = p.organ AND d.point_index = p.point_index
+SELECT case_id, {pose_id_sql()} AS slice_id FROM b_done d WHERE NOT EXISTS (SELECT 1 FROM b_pose p WHERE d.case_id = p.case_id AND d.organ = p.organ AND d.point_index = p.point_index
  AND d.roll = p.roll AND d.pitch = p.pitch AND d.yaw = p.yaw)""")
 def jn12(spark, sf):
     """All finished identifiers that no plan has any more."""
     from ..functions.identity import pose_id
 
-    s = MF.stale(all_poses(spark, sf).select(*CASE_POSE), done(spark, sf), CASE_POSE)
-    return s.select(pose_id(*(F.col(c) for c in POSE)).alias("slice_id"))
+    s = PR.stale(frames(spark, sf), finished(spark, sf), CASE_POSE[:3])
+    return s.select("case_id", pose_id(*(F.col(c) for c in POSE)).alias("slice_id"))
 
 
 @query("top07_control_sample", f"""
