@@ -31,14 +31,18 @@ def place(roll: Column, pitch: Column, yaw: Column) -> Column:
     return F.when(inside, (steps[2] * N_PITCH + steps[1]) * N_ROLL + steps[0]).cast("int")
 
 
-def bitmaps(poses: DataFrame, key: list[str], name: str = "bits") -> DataFrame:
-    """(key, bits): the places of each key's poses as an array of ``WORDS`` numbers of 64 bits."""
+def words_of(poses: DataFrame, key: list[str]) -> DataFrame:
+    """(key, word, n): 64 places of each key as the bits of one number; words without a pose have no row."""
     at = poses.select(*key, place(*(F.col(a) for a in ANGLES)).alias("place")).where("place is not null")
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("place") % 64)
-    words = at.groupBy(*key, F.floor(F.col("place") / 64).cast("int").alias("word")).agg(F.bit_or(bit).alias("n"))
-    held = words.groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("word", "n"))).alias("held"))
+    return at.groupBy(*key, F.floor(F.col("place") / 64).cast("int").alias("word")).agg(F.bit_or(bit).alias("n"))
+
+
+def bitmaps(poses: DataFrame, key: list[str]) -> DataFrame:
+    """(key, bits): the places of each key's poses as an array of ``WORDS`` numbers of 64 bits."""
+    held = words_of(poses, key).groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("word", "n"))).alias("held"))
     dense = F.transform(F.sequence(F.lit(0), F.lit(WORDS - 1)), lambda w: F.coalesce(F.element_at("held", w), F.lit(0).cast("long")))
-    return held.select(*key, dense.alias(name))
+    return held.select(*key, dense.alias("bits"))
 
 
 def pending(points: DataFrame, done: DataFrame, key: list[str]) -> DataFrame:
@@ -53,13 +57,13 @@ def pending(points: DataFrame, done: DataFrame, key: list[str]) -> DataFrame:
 def stale(points: DataFrame, done: DataFrame, key: list[str]) -> DataFrame:
     """(key, angles): distinct finished poses that no plan of ``points`` has."""
     spark = points.sparkSession
-    grids = bitmaps(angle_grid(spark), ["yaw_policy"], "planned")
-    held = bitmaps(done, key).join(points.select(*key, "yaw_policy").distinct(), key, "left").join(F.broadcast(grids), "yaw_policy", "left")
+    grids = words_of(angle_grid(spark), ["yaw_policy"]).withColumnRenamed("n", "planned")
+    held = words_of(done, key).join(points.select(*key, "yaw_policy").distinct(), key, "left")
+    left = F.col("n").bitwiseAND(F.bitwise_not(F.coalesce("planned", F.lit(0).cast("long"))))
+    rows = held.join(F.broadcast(grids), ["yaw_policy", "word"], "left").select(*key, "word", left.alias("n"))
     # A key that two policies plan is stale only where neither has the place.
-    none = F.array_repeat(F.lit(0).cast("long"), WORDS)
-    left = F.zip_with("bits", F.coalesce("planned", none), lambda b, p: b.bitwiseAND(F.bitwise_not(p)))
+    rows = rows.groupBy(*key, "word").agg(F.bit_and("n").alias("n")).where("n <> 0")
     bits = F.sequence(F.lit(0), F.lit(63))
-    rows = held.select(*key, F.posexplode(left).alias("word", "n")).groupBy(*key, "word").agg(F.bit_and("n").alias("n")).where("n <> 0")
     rows = rows.select(*key, "word", F.explode(F.filter(bits, lambda b: F.call_function("shiftright", F.col("n"), b).bitwiseAND(F.lit(1).cast("long")) == 1)).alias("b"))
     at = F.col("word") * 64 + F.col("b")
     rows = rows.select(
