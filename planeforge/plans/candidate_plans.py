@@ -273,7 +273,8 @@ SELECT case_id, CASE WHEN organ = 'duodenum' THEN source_region ELSE organ END A
 FROM b_point GROUP BY ALL""")
 def top02(spark, sf):
     """Post-conditions of the selection on every group: no two chosen points
-    nearer than the spacing, and every candidate left out is within it."""
+    nearer than the spacing, and every candidate left out is within it unless
+    the group has all the points it may have."""
     keys = ["case_id", "grp"]
     p = B.points(spark, sf)
     p = p.withColumn("grp", F.when(F.col("organ") == "duodenum", F.col("source_region")).otherwise(F.col("organ")))
@@ -283,10 +284,12 @@ def top02(spark, sf):
         sel.filter("grp = 'duodenum_bulb'").select("case_id", F.lit("duodenum_remainder").alias("grp"), "x", "y", "z"))
     free = S.drop_near(p.select(*keys, "point_index", "x", "y", "z"), fixed, keys).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_free"))
+    limits = F.create_map(*[F.lit(v) for g, k in K.REGION_LIMIT_KEY.items() for v in (g, K.POINT_LIMITS[k])])
+    full = sel.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).withColumn("full", F.col("n") >= limits[F.col("grp")])
     groups = p.select(*keys).distinct()
-    return groups.join(gap, keys, "left").join(free, keys, "left").select(
+    return groups.join(gap, keys, "left").join(free, keys, "left").join(full, keys, "left").select(
         *keys, F.coalesce(F.col("min_mm") >= K.SPACING_MM - 1e-9, F.lit(True)).alias("spacing_kept"),
-        F.col("n_free").isNull().alias("maximal"))
+        (F.col("n_free").isNull() | F.coalesce("full", F.lit(False))).alias("maximal"))
 
 
 @query("top04_region_selection")
