@@ -587,8 +587,9 @@ def flt19(spark, sf):
     from .pose_plans import base
 
     k = F.col("point_index")
+    # the third corner is moved along the square's own side, which no orientation hides
     b = base(spark, sf).withColumns({
-        "v3x": F.col("v3x") + F.when(k % 23 == 0, 0.01 * F.col("ax") + 0.001).otherwise(0.0) * F.when(F.abs("ax") > 0, 1.0).otherwise(1.0),
+        **{f"v3{a}": F.col(f"v3{a}") + F.when(k % 23 == 0, 0.01 * F.col(f"a{a}")).otherwise(0.0) for a in "xyz"},
         "z": F.col("z") + F.when(k % 29 == 0, 1e-3).otherwise(0.0)})
     return MF.count_kinds(b.withColumn("bad", MF.violations(*base_plane_checks())), "bad", [])
 
