@@ -20,11 +20,9 @@ XYZ = ["property float x", "property float y", "property float z"]
 
 def wide_rows(planes: DataFrame) -> DataFrame:
     """27 text columns with nine decimals after the three identifying ones."""
-    wide = {
-        f"{name}_{a}_mm": F.format_string("%.9f", F.col(c) + F.lit(0.0))
-        for name, cols in VECTORS.items() for a, c in zip("xyz", cols)
-    }
-    return planes.select("slice_id", "organ", "point_index", *[c.alias(n) for n, c in wide.items()])
+    names = {f"{name}_{a}_mm": c for name, cols in VECTORS.items() for a, c in zip("xyz", cols)}
+    text = planes.select("slice_id", "organ", "point_index", F.split(numbers("%.9f", *names.values()), " ").alias("__v"))
+    return text.select("slice_id", "organ", "point_index", *[F.col("__v")[i].alias(n) for i, n in enumerate(names)])
 
 
 def _write(lines: DataFrame, head: list[str], path: str) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..contract import EXPORT_COLORS
@@ -15,7 +16,17 @@ def header(kind_lines: list[str]) -> list[str]:
 
 
 def numbers(fmt: str, *cols: str) -> Column:
-    return F.format_string(" ".join([fmt] * len(cols)), *[F.col(c) + F.lit(0.0) for c in cols])
+    """Numbers as C's printf writes them: the binary value is rounded, ties to even.
+
+    Java's formatter rounds the shortest decimal form half up instead.
+    """
+    line = " ".join([fmt] * len(cols))
+
+    @F.pandas_udf("string")
+    def written(*values: pd.Series) -> pd.Series:
+        return pd.Series([line % row for row in zip(*values)], dtype=object)
+
+    return written(*[F.col(c) + F.lit(0.0) for c in cols])
 
 
 def point_lines(points: DataFrame) -> DataFrame:
