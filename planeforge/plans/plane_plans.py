@@ -164,9 +164,10 @@ cte("b_align", _ALIGN)
 
 
 def assessed(spark, sf):
-    p = B.border_planes(spark, sf).join(borders(spark, sf), "plane_id")
+    # rasters never go to the driver: their size estimate knows nothing of the arrays
+    p = B.border_planes(spark, sf).select("plane_id", "h", "w", "out").hint("merge").join(borders(spark, sf), "plane_id")
     a = PL.with_line_alignment(p, ["plane_id"])
-    c = PL.overlap_counts(B.border_planes(spark, sf)).drop("px", "out")
+    c = PL.overlap_counts(B.border_planes(spark, sf)).drop("px", "out").hint("merge")
     return PL.rejection_cause(c.join(a, "plane_id"))
 
 
@@ -264,11 +265,13 @@ def audited_pixels(spark, sf):
     lab = PL.organs_present(B.label_planes(spark, sf), K.VESSEL_LABEL_VALUES).select("plane_id", F.col("organ_labels").alias("labels"))
     feats = vessel_regions(spark, sf).filter("not touches_edge").groupBy("plane_id").agg(F.array_sort(F.collect_set("label")).alias("feature_labels"))
     k = F.col("plane_id") % 7
-    df = colours(spark, sf).join(lab, "plane_id").join(feats, "plane_id", "left").withColumn(
+    # which colours a raster has is all that is asked, so only those are joined; by shuffle, as every side has a row a raster
+    rgb = F.when(k == 3, F.concat(F.array(F.lit(123)), F.slice("rgb", 2, 399))).otherwise(F.col("rgb"))
+    seen = colours(spark, sf).select("plane_id", F.array_distinct(rgb).alias("rgb")).hint("merge")
+    df = seen.join(lab.hint("merge"), "plane_id").join(feats.hint("merge"), "plane_id", "left").withColumn(
         "feature_labels", F.coalesce("feature_labels", F.array().cast("array<string>")))
     df = df.withColumns({
-        "labels": F.when(k == 1, F.array_union("labels", F.array(F.lit("aorta")))).when(k == 2, F.array().cast("array<string>")).otherwise(F.col("labels")),
-        "rgb": F.when(k == 3, F.concat(F.array(F.lit(123)), F.slice("rgb", 2, 399))).otherwise(F.col("rgb"))})
+        "labels": F.when(k == 1, F.array_union("labels", F.array(F.lit("aorta")))).when(k == 2, F.array().cast("array<string>")).otherwise(F.col("labels"))})
     return PL.pixel_audit(df, K.VESSEL_COLORS)
 
 

@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from planeforge.functions.linalg import r6
@@ -97,3 +98,38 @@ def test_a_planted_fault_shows_at_every_orientation(spark, tmp_path):
 
     sf = tables(tmp_path, spark, [(0, [0.1, 0.1, 0.1, -0.1, 0.9949874371, 0.0], 0), (23, [0.2, 0.1, 0.1, 0.0, 0.0, 1.0], 0), (1, [0.3, 0.1, 0.1, 1.0, 0.0, 0.0], 0)])
     assert {r["kind"]: r["n"] for r in flt19(spark, sf).collect()} == {"edge_length": 2, "axes_disagree": 2, "probe_midpoint": 1}
+
+
+def test_colours_of_a_stack_equal_those_of_each_raster(spark):
+    from planeforge import contract as K
+    from planeforge.operators import planes as PL
+
+    rng = np.random.default_rng(3)
+    grids = [rng.integers(0, 40, s) for s in ((5, 7), (7, 5), (5, 7), (1, 3), (6, 6))]
+    rows = [(i, *g.shape, [int(v) for v in g.ravel()]) for i, g in enumerate(grids)]
+    df = spark.createDataFrame(rows, "plane_id long, h int, w int, px array<smallint>")
+    got = {r["plane_id"]: r["rgb"] for r in PL.boundary_colours(df, ["plane_id"], K.VESSEL_LABEL_VALUES, K.VESSEL_COLORS).collect()}
+    for i, g in enumerate(grids):
+        want = np.full(g.shape, PL.WHITE)
+        for n, v in K.VESSEL_LABEL_VALUES.items():
+            for y, x in np.argwhere(np.isin(g, v)):
+                beside = [(y + a, x + b) for a, b in ((0, 1), (1, 0), (0, -1), (-1, 0)) if 0 <= y + a < g.shape[0] and 0 <= x + b < g.shape[1]]
+                if any(g[p] not in v for p in beside):
+                    want[y, x] = PL.rgb(K.VESSEL_COLORS[n])
+        assert got[i] == want.ravel().tolist()
+
+
+def broadcasts(spark, df):
+    """Joins that send a side to the driver; the plan is the one before runtime statistics."""
+    return df._jdf.queryExecution().sparkPlan().toString().count("BroadcastHashJoin")
+
+
+def test_tables_that_grow_are_not_sent_to_the_driver(spark):
+    from planeforge.operators import graph as G
+    from planeforge.plans.plane_plans import assessed, audited_pixels
+
+    sf = "/root/testdata/sf0.001"
+    v = B.skeleton(spark, sf)
+    assert broadcasts(spark, G.degrees(v, G.adjacency(v, ["case_id"]), ["case_id"])) == 0
+    assert broadcasts(spark, audited_pixels(spark, sf)) == 0
+    assert broadcasts(spark, assessed(spark, sf)) == 0
