@@ -21,14 +21,14 @@ def connected_components(nodes: DataFrame, edges: DataFrame, keys: list[str]) ->
     jumps to the label of that label, which keeps the number of rounds near
     the logarithm of the longest path. Every round is a written table.
     """
-    both = materialize(undirected(edges, keys), "cc-edges")
-    lab = materialize(nodes.select(*keys, "node", F.col("node").alias("comp")), "cc")
+    both = materialize(undirected(edges, keys), "cc-edges", grows=True)
+    lab = materialize(nodes.select(*keys, "node", F.col("node").alias("comp")), "cc", grows=True)
     while True:
         near = both.join(lab.withColumnRenamed("node", "dst"), [*keys, "dst"]).groupBy(*keys, "src").agg(
             F.min("comp").alias("m"))
         low = lab.join(near.withColumnRenamed("src", "node"), [*keys, "node"], "left").select(
             *keys, "node", "comp", F.least("comp", F.coalesce("m", "comp")).alias("low"))
-        low = materialize(low, "cc-low")
+        low = materialize(low, "cc-low", grows=True)
         # lower the old root too, so that whole trees hang under the new one
         pull = low.groupBy(*keys, F.col("comp").alias("node")).agg(F.min("low").alias("p"))
         low = low.join(pull, [*keys, "node"], "left").select(
@@ -36,7 +36,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, keys: list[str]) ->
         roots = low.select(*keys, F.col("node").alias("low"), F.col("low").alias("up"))
         nxt = low.join(roots, [*keys, "low"]).select(
             *keys, "node", F.least("low", "up").alias("new"), (F.least("low", "up") != F.col("comp")).alias("moved"))
-        nxt = materialize(nxt, "cc")
+        nxt = materialize(nxt, "cc", grows=True)
         done = nxt.filter("moved").isEmpty()
         lab = nxt.select(*keys, "node", F.col("new").alias("comp"))
         if done:
@@ -59,7 +59,7 @@ def adjacency(vox: DataFrame, keys: list[str]) -> DataFrame:
         F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(k).alias("k"))
         for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1) if (i, j, k) != (0, 0, 0)
     ])
-    v = with_node(vox)
+    v = with_node(vox).hint("merge")
     step = v.withColumn("o", F.explode(around)).select(
         *keys, F.col("node").alias("src"), *[(F.col(c) + F.col(f"o.{n}")).alias(c) for c, n in zip("zyx", "ijk")],
         F.sqrt((F.col("o.i") * F.col("o.i") + F.col("o.j") * F.col("o.j") + F.col("o.k") * F.col("o.k")).cast("double")).alias("len"))
@@ -69,12 +69,12 @@ def adjacency(vox: DataFrame, keys: list[str]) -> DataFrame:
 
 def degrees(vox: DataFrame, adj: DataFrame, keys: list[str]) -> DataFrame:
     d = adj.groupBy(*keys, F.col("src").alias("node")).agg(F.count(F.lit(1)).alias("degree"))
-    return with_node(vox).join(d, [*keys, "node"], "left").fillna(0, ["degree"])
+    return with_node(vox).hint("merge").join(d, [*keys, "node"], "left").fillna(0, ["degree"])
 
 
 def tree_report(vox: DataFrame, keys: list[str]) -> DataFrame:
     """Nodes, edges, ends, branch points, components; a tree or not."""
-    adj = materialize(adjacency(vox, keys), "adjacency")
+    adj = materialize(adjacency(vox, keys), "adjacency", grows=True)
     deg = degrees(vox, adj, keys)
     counts = deg.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_nodes"), (F.sum("degree") / 2).cast("long").alias("n_edges"),
@@ -126,17 +126,17 @@ def tree_path(vox: DataFrame, ends: DataFrame, keys: list[str]) -> DataFrame:
     """
     good = materialize(path_verdicts(vox, ends, keys).filter("verdict = 'ok'").select(*keys), "path-good")
     vox, ends = vox.join(good, keys, "left_semi"), ends.join(good, keys, "left_semi")
-    hold = materialize(ends.select(*keys, F.explode(F.array("start", "stop")).alias("node")), "path-ends")
-    adj = materialize(adjacency(vox, keys), "path-adj")
+    hold = materialize(ends.select(*keys, F.explode(F.array("start", "stop")).alias("node")), "path-ends", grows=True)
+    adj = materialize(adjacency(vox, keys), "path-adj", grows=True)
     while True:
         deg = adj.groupBy(*keys, F.col("src").alias("node")).agg(F.count(F.lit(1)).alias("n"))
         leaf = deg.filter("n = 1").join(hold, [*keys, "node"], "left_anti").select(*keys, "node")
-        leaf = materialize(leaf, "path-leaf")
+        leaf = materialize(leaf, "path-leaf", grows=True)
         if leaf.isEmpty():
             break
         adj = adj.join(leaf.withColumnRenamed("node", "src"), [*keys, "src"], "left_anti").join(
             leaf.withColumnRenamed("node", "dst"), [*keys, "dst"], "left_anti").select(*keys, "src", "dst", "len")
-        adj = materialize(adj, "path-adj")
+        adj = materialize(adj, "path-adj", grows=True)
     return _rank_path(adj, ends, keys)
 
 
@@ -146,7 +146,7 @@ def _rank_path(adj: DataFrame, ends: DataFrame, keys: list[str]) -> DataFrame:
     Arcs (a -> b) point on to the arc (b -> c) that does not turn back. Both
     directions are ranked; the one ending at the stop is kept.
     """
-    arcs = adj.select(*keys, F.col("src").alias("a"), F.col("dst").alias("b"), "len")
+    arcs = adj.hint("merge").select(*keys, F.col("src").alias("a"), F.col("dst").alias("b"), "len")
     nxt = adj.select(*keys, F.col("src").alias("b"), F.col("dst").alias("c"))
     cur = arcs.join(nxt, [*keys, "b"], "left")
     # arcs that only can turn back are the last of their direction
@@ -154,7 +154,7 @@ def _rank_path(adj: DataFrame, ends: DataFrame, keys: list[str]) -> DataFrame:
         F.max("c").alias("c"))
     cur = materialize(
         cur.select(*keys, "a", "b", F.col("b").alias("na"), F.col("c").alias("nb"), F.lit(1).cast("long").alias("steps"),
-                   F.col("len").alias("dist"), F.col("b").alias("tail")), "rank")
+                   F.col("len").alias("dist"), F.col("b").alias("tail")), "rank", grows=True)
     # Doubling settles a path of n arcs in log2 n rounds; more would be a ring.
     rounds = cur.count().bit_length() + 1
     while not cur.filter("nb is not null").isEmpty():
@@ -168,11 +168,11 @@ def _rank_path(adj: DataFrame, ends: DataFrame, keys: list[str]) -> DataFrame:
                 *keys, "a", "b", F.coalesce("na2", "na").alias("na"), "nb2", 
                 (F.col("steps") + F.coalesce("s2", F.lit(0))).alias("steps"),
                 (F.col("dist") + F.coalesce("d2", F.lit(0.0))).alias("dist"), F.coalesce("t2", "tail").alias("tail"),
-            ).withColumnRenamed("nb2", "nb"), "rank")
+            ).withColumnRenamed("nb2", "nb"), "rank", grows=True)
     # distance to the stop is known for arcs heading there; order runs from the start
     to_stop = cur.join(ends, keys).filter("tail = stop").select(*keys, F.col("a").alias("node"), "steps", "dist")
     total = to_stop.join(ends, keys).filter("node = start").select(*keys, F.col("steps").alias("n"), F.col("dist").alias("l"))
-    inner = to_stop.join(total, keys).select(
+    inner = to_stop.hint("merge").join(total, keys).select(
         *keys, "node", (F.col("n") - F.col("steps")).alias("seq"), (F.col("l") - F.col("dist")).alias("along"))
     last = total.join(ends, keys).select(*keys, F.col("stop").alias("node"), F.col("n").alias("seq"), F.col("l").alias("along"))
     return inner.unionByName(last)
@@ -186,15 +186,15 @@ def prune_spurs(vox: DataFrame, keys: list[str], pitch: float, limit: float) ->
     is not a path with two ends (a ring). Branches of all cases are measured
     together: after the branch points are taken out, each is a component.
     """
-    live = materialize(with_node(vox).select(*keys, "z", "y", "x", "node"), "spur-live")
+    live = materialize(with_node(vox).select(*keys, "z", "y", "x", "node"), "spur-live", grows=True)
     pieces = tree_report(live.select(*keys, "z", "y", "x"), keys)
     verdicts = materialize(pieces.filter("n_components > 1").select(*keys, F.lit("disconnected").alias("verdict")), "spur-pieces")
     pruned = None
     active = live.select(*keys).distinct().join(verdicts, keys, "left_anti")
     while True:
         part = live.join(active, keys, "left_semi")
-        adj = materialize(adjacency(part, keys), "spur-adj")
-        deg = materialize(degrees(part.drop("node"), adj, keys).select(*keys, "node", "degree"), "spur-deg")
+        adj = materialize(adjacency(part, keys), "spur-adj", grows=True)
+        deg = materialize(degrees(part.drop("node"), adj, keys).select(*keys, "node", "degree"), "spur-deg", grows=True)
         branched = materialize(deg.filter("degree > 2").select(*keys).distinct(), "spur-branched")
         if branched.isEmpty():
             break
@@ -211,7 +211,7 @@ def prune_spurs(vox: DataFrame, keys: list[str], pitch: float, limit: float) ->
         ends = free.filter("degree = 1").join(cc, [*keys, "node"]).groupBy(*keys, "comp").agg(F.count(F.lit(1)).alias("n_ends"))
         branch = touch.join(ends, [*keys, "comp"]).join(size, [*keys, "comp"], "left").filter("n_joints = 1 and n_ends = 1")
         branch = materialize(branch.select(
-            *keys, "comp", ((F.coalesce("inner_len", F.lit(0.0)) + F.col("joint_len")) * pitch).alias("length")), "spur-branch")
+            *keys, "comp", ((F.coalesce("inner_len", F.lit(0.0)) + F.col("joint_len")) * pitch).alias("length")), "spur-branch", grows=True)
         best = branch.groupBy(*keys).agg(F.min(F.struct("length", "comp")).alias("b"))
         others = branch.join(best, keys).filter(F.col("comp") != F.col("b.comp")).groupBy(*keys).agg(F.min("length").alias("second"))
         call = branched.join(best, keys, "left").join(others, keys, "left").select(
@@ -227,7 +227,7 @@ def prune_spurs(vox: DataFrame, keys: list[str], pitch: float, limit: float) ->
         if active.isEmpty():
             break
         gone = cc.join(cut, [*keys, "comp"]).select(*keys, "node")
-        live = materialize(live.join(gone, [*keys, "node"], "left_anti"), "spur-live")
+        live = materialize(live.join(gone, [*keys, "node"], "left_anti"), "spur-live", grows=True)
     cases = live.select(*keys).distinct()
     ends = tree_report(live.select(*keys, "z", "y", "x"), keys).filter("n_ends <> 2").select(*keys, F.lit("wrong_ends").alias("last"))
     out = cases.join(verdicts, keys, "left").join(ends, keys, "left").withColumn("verdict", F.coalesce("verdict", "last", F.lit("ok")))
