@@ -8,7 +8,8 @@ join is two binary searches for each token. A token that lies in one section is
 So the counts of a document's sections add up to its tokens.
 
 Sections are an array column of (section, start, end), ordered, end exclusive, without overlaps. ``line_sections``
-makes them from a text: lines, and lines longer than ``LONGEST`` in windows of that many code points.
+makes them from a text: lines, and lines longer than ``LONGEST`` in windows of that many code points. Without the column
+the same sections are cut where the tokens are counted, and never travel as rows between Python and the JVM.
 
 Rows: every input row gives its own rows, repeated and tied rows too (they repeat); a null or empty text has no
 sections and no rows; an empty table gives an empty table. Only the named columns are read, so other columns and
@@ -32,24 +33,28 @@ SCHEMA = "doc_id long, section int, start int, end int, n_tokens long, n_crossin
 
 
 class Spans:
-    """Token spans of whole texts, chunk by chunk as in ``words``: begin and end of each token within its chunk."""
+    """Token spans of whole texts, as code points, from the ids and the number of bytes of each token.
 
-    def __init__(self, path: str) -> None:
-        self.tokenizer = words.load(path)
-        self.memory = words.Memory(self._spans, words.GENERATION // 2)
+    A token that begins or ends within a character stands for the whole character, as the tokenizers library reports it;
+    a text with a special token goes to that library.
+    """
 
-    def _spans(self, chunk: str) -> tuple[int, bytes]:
-        at = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).offsets, "<u4").reshape(-1, 2)
-        return len(at), at.tobytes()
+    def __init__(self, path: str) -> None:
+        self.encoder = words.encoder(path, False)
+        self.sizes = np.zeros(self.encoder.tokenizer.get_vocab_size(), np.int64)
+        for token in self.encoder.tokenizer.get_vocab(False).values():
+            self.sizes[token] = self.encoder.size(token)
 
     def of(self, text: str) -> np.ndarray:
-        chunks = words.byte_chunks(text)
-        if not chunks:
-            return np.zeros((0, 2), np.int64)
-        counts, data = zip(*map(self.memory.__getitem__, chunks), strict=True)
-        sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
-        within = np.frombuffer(b"".join(data), "<u4").reshape(-1, 2).astype(np.int64)
-        return within + np.repeat(np.cumsum(sizes) - sizes, counts)[:, None]
+        if self.encoder.has_special(text):
+            return np.array(self.encoder.tokenizer.encode(text, add_special_tokens=False).offsets, np.int64).reshape(-1, 2)
+        end = np.cumsum(self.sizes[np.frombuffer(self.encoder.packed(text), "<u2")])
+        start = np.r_[0, end[:-1]] if len(end) else end
+        if not text.isascii():
+            # Characters begun up to each byte.
+            begun = np.cumsum((np.frombuffer(text.encode(), np.uint8) & 0xC0) != 0x80)
+            start, end = begun[start] - 1, begun[end - 1]
+        return np.stack([start, end], 1)
 
 
 def allot(spans: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -69,20 +74,25 @@ def allot(spans: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.nda
 _SPANS: dict[str, Spans] = {}
 
 
+def lines(text: str) -> np.ndarray:
+    """Begin and end of each section of a text: its lines, longer ones in windows of ``LONGEST`` code points."""
+    sizes = np.fromiter(map(len, text.split("\n")), np.int64)
+    at = np.cumsum(sizes + 1) - sizes - 1
+    if len(sizes) and sizes.max() <= LONGEST:
+        some = sizes > 0
+        return np.stack([at[some], at[some] + sizes[some]], 1)
+    windows = -(-sizes // LONGEST)
+    within = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
+    begin = np.repeat(at, windows) + within * LONGEST
+    return np.stack([begin, np.minimum(begin + LONGEST, np.repeat(at + sizes, windows))], 1)
+
+
 def line_sections(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text, sections) with the lines of each text as sections."""
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            out = []
-            for text in batch:
-                at, sections = 0, []
-                for line in text.split("\n") if isinstance(text, str) else ():
-                    for k in range(0, len(line), LONGEST):
-                        sections.append({"section": len(sections), "start": at + k, "end": at + min(k + LONGEST, len(line))})
-                    at += len(line) + 1
-                out.append(sections)
-            yield pd.Series(out, dtype=object)
+            yield pd.Series([[{"section": k, "start": a, "end": b} for k, (a, b) in enumerate(lines(t).tolist())] if isinstance(t, str) else [] for t in batch], dtype=object)
 
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
     cut = F.pandas_udf(run, "array<struct<section:int,start:int,end:int>>")
@@ -91,7 +101,11 @@ def line_sections(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def attribute(docs: DataFrame, path: str) -> DataFrame:
-    """Tokens of each section of ``docs(doc_id, text, sections)``; n_crossing: those that also reach into others."""
+    """Tokens of each section of ``docs(doc_id, text, sections)``; n_crossing: those that also reach into others.
+
+    Without a column of sections the lines are taken, cut in the same Python worker.
+    """
+    given = "sections" in docs.columns
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if path not in _SPANS:
@@ -99,26 +113,31 @@ def attribute(docs: DataFrame, path: str) -> DataFrame:
         spans_of = _SPANS[path].of
         for batch in batches:
             for lo in range(0, len(batch), 100):
-                parts = []
-                for name, text, sections in zip(*(batch[c].iloc[lo : lo + 100] for c in ("doc_id", "text", "sections")), strict=True):
+                some, names, parts = batch.iloc[lo : lo + 100], [], []
+                for name, text, sections in zip(some["doc_id"], some["text"], some["sections"] if given else [None] * len(some), strict=True):
                     if not isinstance(text, str) or not text:
                         continue
-                    sections = [] if sections is None else sections
-                    section, begin, end = (np.array([x[c] for x in sections], np.int64) for c in ("section", "start", "end"))
+                    if given:
+                        section, begin, end = (np.array([x[c] for x in (() if sections is None else sections)], np.int64) for c in ("section", "start", "end"))
+                    else:
+                        begin, end = lines(text).T
+                        section = np.arange(len(begin))
                     to, crossing = allot(spans_of(text), begin, end)
                     n = np.bincount(to + 1, minlength=len(section) + 1)
                     crossed = np.bincount(to[crossing] + 1, minlength=len(section) + 1)
                     keep = slice(0 if n[0] else 1, None)
-                    parts.append(([name] * len(n[keep]), np.r_[-1, section][keep], np.r_[-1, begin][keep], np.r_[-1, end][keep], n[keep], crossed[keep]))
+                    names.append(name)
+                    parts.append((np.r_[-1, section][keep], np.r_[-1, begin][keep], np.r_[-1, end][keep], n[keep], crossed[keep]))
                 if parts:
-                    names, *rest = zip(*parts, strict=True)
-                    out = pd.DataFrame(dict(zip(("section", "start", "end", "n_tokens", "n_crossing"), map(np.concatenate, rest), strict=True)))
-                    out.insert(0, "doc_id", pd.array([None if pd.isna(n) else int(n) for ns in names for n in ns], "Int64"))
+                    out = pd.DataFrame(dict(zip(("section", "start", "end", "n_tokens", "n_crossing"), map(np.concatenate, zip(*parts, strict=True)), strict=True)))
+                    own = pd.array([None if pd.isna(n) else int(n) for n in names], "Int64")
+                    out.insert(0, "doc_id", own.repeat([len(p[0]) for p in parts]))
                     yield out
 
     small_batches(docs.sparkSession)
-    return docs.select("doc_id", "text", "sections").mapInPandas(run, SCHEMA)
+    return docs.select("doc_id", "text", *(["sections"] if given else [])).mapInPandas(run, SCHEMA)
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return attribute(line_sections(documents(spark, sf_dir)), words.public_path("byte_bpe_50k.json"))
+    docs = documents(spark, sf_dir).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return attribute(docs, words.public_path("byte_bpe_50k.json"))

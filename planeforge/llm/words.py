@@ -21,8 +21,8 @@ _UNEVEN = re.compile(r"\s\s|^\s|\s$")
 _SPACE = re.compile(r"\s")
 #: ASCII marks, but for those that may begin or end a special token or a contraction.
 MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
-#: Fixed value: what the byte-level tokenizer takes as one pre-token.
-PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Fixed value: what the byte-level tokenizer takes as one pre-token, without ways back that cannot help.
+PRE_TOKENS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s+(?!\S)|\s+"
 #: A space before anything but white space begins a pre-token of the byte-level tokenizer.
 _BEFORE_WORD = re.compile(r" (?=\S)")
 
@@ -158,12 +158,20 @@ class ByteEncoder:
                 own, spare = chr(spare), spare + 1
             letters[own] = byte
         ranks = {bytes(map(letters.__getitem__, token)): rank for token, rank in self.tokenizer.get_vocab(False).items() if token not in self.special}
+        self.sizes = {rank: len(token) for token, rank in ranks.items()}
         self.encoding = tiktoken.Encoding("bytes", pat_str=PRE_TOKENS, mergeable_ranks=ranks, special_tokens={})
 
+    def has_special(self, text: str) -> bool:
+        return any(s in text for s in self.special)
+
+    def size(self, token: int) -> int:
+        """Bytes of text that a token stands for; a special one has none here."""
+        return self.sizes.get(token, 0)
+
     def packed(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if any(s in text for s in self.special):
+        if self.has_special(text):
             return array("H", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         return array("H", self.encoding.encode_ordinary(text)).tobytes()
 
