@@ -182,7 +182,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, length_col: str = "length"
             seen += np.bincount(sizes, minlength=capacity + 1)
             yield batch.assign(**{part: own, rank: ranks})
 
-    numbered = materialize(pieces.mapInPandas(number, schema), "packing")
+    # Pieces are written first: numbered in the stage that makes them, each task would hold two Python workers, which are
+    # used again for either work, so that both would come to hold a tokenizer and its words.
+    numbered = materialize(materialize(pieces, "pieces").mapInPandas(number, schema), "packing")
     by_part = numbered.groupBy(part, length).agg(F.count("*").alias("n"))
     counts = {r[0]: r[1] for r in by_part.groupBy(length).agg(F.sum("n")).collect()}  # at most ``capacity`` rows
     keys, sequences, offsets, copies = _runs(plan(counts, capacity))
