@@ -249,20 +249,31 @@ def by_size(texts: list[str | None], most: int = PIECE) -> Iterator[slice]:
         yield slice(start, len(texts))
 
 
+def _encoded(enc: TrieEncoder, batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    texts = [t if isinstance(t, str) else None for t in batch["text"]]
+    for part in by_size(texts):
+        ids = [np.frombuffer(x, "<u2").astype("<u4") for x in enc.packed(texts[part])]
+        yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[part].array, "n_tokens": [len(x) for x in ids], "ids": [x.tobytes() for x in ids]})
+
+
+def _decoded(tokens: list[bytes], ids: pd.Series) -> pd.Series:
+    return pd.Series([b" ".join(map(tokens.__getitem__, np.frombuffer(x, "<u4").tolist())).decode() for x in ids], dtype=object)
+
+
+def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    small_batches(docs.sparkSession)
+    return docs.select(column(docs, id_col).cast("long").alias("doc_id"), column(docs, text_col).cast("string").alias("text"))
+
+
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, ids): the ids of every whole text, as little-endian unsigned 32-bit numbers."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = _encoder(path)
         for batch in batches:
-            texts = [t if isinstance(t, str) else None for t in batch["text"]]
-            for part in by_size(texts):
-                ids = [np.frombuffer(x, "<u2").astype("<u4") for x in enc.packed(texts[part])]
-                yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[part].array, "n_tokens": [len(x) for x in ids], "ids": [x.tobytes() for x in ids]})
+            yield from _encoded(enc, batch)
 
-    small_batches(docs.sparkSession)
-    source = docs.select(column(docs, id_col).cast("long").alias("doc_id"), column(docs, text_col).cast("string").alias("text"))
-    return source.mapInPandas(run, "doc_id long, n_tokens long, ids binary")
+    return _source(docs, id_col, text_col).mapInPandas(run, "doc_id long, n_tokens long, ids binary")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -271,13 +282,25 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tokens = _encoder(path).vocabulary.tokens
         for batch in batches:
-            yield pd.Series([b" ".join(map(tokens.__getitem__, np.frombuffer(x, "<u4").tolist())).decode() for x in batch], dtype=object)
+            yield _decoded(tokens, batch)
 
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return encoded.withColumn("decoded", F.pandas_udf(run, "string")("ids"))
 
 
+def encode_and_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``decode(encode(docs))`` in one Python worker a task: two in a row would both come to hold a vocabulary and its words."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        enc = _encoder(path)
+        for batch in batches:
+            for part in _encoded(enc, batch):
+                yield part.assign(decoded=_decoded(enc.vocabulary.tokens, part["ids"]))
+
+    return _source(docs, id_col, text_col).mapInPandas(run, "doc_id long, n_tokens long, ids binary, decoded string")
+
+
 def op5_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = words.public_path("word_bpe_49k.json")
-    both = decode(encode(documents(spark, sf_dir), path), path)
+    both = encode_and_decode(documents(spark, sf_dir), path)
     return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
