@@ -42,6 +42,11 @@ def triangle_cells(triangles: DataFrame, cell: float = CELL_MM) -> DataFrame:
     return with_box_cells(triangles, lo, hi, cell)
 
 
+def distinct_triangles(triangles: DataFrame) -> DataFrame:
+    """Triangles of equal corners once for each target: a copy is hit where its like is, at the same distance."""
+    return triangles.select("case_id", "target_id", *[f"{a}{i}" for i in range(3) for a in "xyz"]).distinct()
+
+
 def with_hit_distance(df: DataFrame) -> DataFrame:
     """Distance ``t`` along the unit ray to the triangle, null for a miss."""
     o, d = vec("x", "y", "z"), vec("dx", "dy", "dz")
@@ -68,9 +73,9 @@ def target_hits(rays: DataFrame, triangles: DataFrame, key: list[str], length: f
     Per (ray, target) minima are taken first, map side; the final group of a
     ray therefore holds at most one row per target of its case. A crowded
     cell only makes more pairs of one join key, which adaptive skew handling
-    splits over tasks.
+    splits over tasks. Copies of a triangle are tested once.
     """
-    joined = ray_cells(rays, length).join(triangle_cells(triangles), ["case_id", *CELL])
+    joined = ray_cells(rays, length).join(triangle_cells(distinct_triangles(triangles)), ["case_id", *CELL])
     hits = with_hit_distance(joined).filter(
         (F.col("t") > RAY_MIN_MM) & (F.col("t") <= length + RAY_TOLERANCE_MM)
     )
