@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..session import materialize
+from .graph import connected_components
+
+
+#: Edge of the cells in which near squares are sought, far wider than any tolerance.
+CELL_MM = 1e-3
 
 
 def _near_pairs(nodes: DataFrame, keys: list[str], node: str, rank: str, coords, tolerance: float) -> DataFrame:
@@ -13,7 +18,7 @@ def _near_pairs(nodes: DataFrame, keys: list[str], node: str, rank: str, coords,
     Buckets use the first three coordinates with cells far wider than the
     tolerance; a row is repeated only when it lies next to a cell wall.
     """
-    size = 1e-3
+    size = CELL_MM
     c3 = coords[:3]
     cells = [
         F.array_distinct(F.array(
@@ -81,15 +86,11 @@ def first_kept(nodes: DataFrame, keys: list[str], node: str, rank: str, coords,
     return out.withColumnRenamed("node", node)
 
 
-def coincident_points(points: DataFrame, cell_mm: float = 1e-6) -> DataFrame:
-    """Points whose probe cell, or a cell next to it, holds another point.
-
-    Squares can only coincide when the midpoints of their bottom edges do, so
-    this reduction runs on points, thousands of times fewer than poses.
-    """
+def _shared_cells(points: DataFrame, cell_mm: float) -> DataFrame:
+    """(case_id, organ, point_index, hub) for each cell a point shares with another; the hub is the cell's least point."""
     key = ["case_id", "__k0", "__k1", "__k2"]
     cells = points.select(
-        "case_id", "organ", "point_index",
+        "case_id", "organ", "point_index", F.xxhash64("organ", "point_index").alias("__n"),
         *[
             F.array_distinct(F.array(
                 F.floor((F.col(c) - 1e-9) / cell_mm), F.floor((F.col(c) + 1e-9) / cell_mm))).alias(f"__a{i}")
@@ -98,8 +99,34 @@ def coincident_points(points: DataFrame, cell_mm: float = 1e-6) -> DataFrame:
     )
     for i in range(3):
         cells = cells.withColumn(f"__k{i}", F.explode(f"__a{i}"))
-    busy = cells.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return cells.join(busy, key, "left_semi").select("case_id", "organ", "point_index").distinct()
+    busy = cells.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min("__n").alias("hub")).filter("n > 1")
+    return cells.join(busy, key).select("case_id", "organ", "point_index", "__n", "hub")
+
+
+def coincident_points(points: DataFrame, cell_mm: float = 1e-6) -> DataFrame:
+    """Points whose probe cell, or a cell next to it, holds another point.
+
+    Squares can only coincide when the midpoints of their bottom edges do, so
+    this reduction runs on points, thousands of times fewer than poses.
+    """
+    return _shared_cells(points, cell_mm).select("case_id", "organ", "point_index").distinct()
+
+
+def coincident_clusters(points: DataFrame, cell_mm: float = 1e-6) -> DataFrame:
+    """(case_id, organ, point_index, cluster) of the coincident points.
+
+    Points linked by shared cells are in one cluster, so squares that coincide
+    are too. Two clusters may get one number; that only puts them together.
+    """
+    cells = materialize(_shared_cells(points, cell_mm), "shared-cells", grows=True)
+    key = ["case_id", "organ", "point_index"]
+    by_point = cells.groupBy(*key, "__n").agg(F.min("hub").alias("cluster"), F.max("hub").alias("__m"))
+    if not by_point.filter("cluster <> __m").isEmpty():  # a point at a cell wall links two cells
+        edges = cells.select("case_id", F.col("__n").alias("src"), F.col("hub").alias("dst"))
+        nodes = cells.select("case_id", F.col("__n").alias("node")).distinct()
+        found = connected_components(nodes, edges, ["case_id"]).withColumnsRenamed({"node": "__n", "comp": "cluster"})
+        by_point = by_point.drop("cluster").join(found, ["case_id", "__n"])
+    return by_point.select(*key, "cluster")
 
 
 def resolve_duplicates(poses: DataFrame, coords, tolerance: float) -> DataFrame:
@@ -122,3 +149,39 @@ def resolve_duplicates(poses: DataFrame, coords, tolerance: float) -> DataFrame:
     owner = first_kept(nodes, ["case_id"], "node", "rank", coords, tolerance)
     by_square = nodes.select(*key, "node").join(owner, ["case_id", "node"]).drop("node")
     return poses.join(by_square, key)
+
+
+def resolve_in_place(poses: DataFrame, coords, tolerance: float, within: list[str], carry: tuple[str, ...] = ()) -> DataFrame:
+    """``resolve_duplicates`` for poses that are dealt to tasks by ``within``, equal for squares that can coincide.
+
+    Bit-equal squares meet in a window of their task and no pose is shuffled.
+    Only distinct squares that share a cell go through the tolerance rounds.
+    The owner's ``carry`` columns are added as ``owner_<name>``. A task holds
+    all poses of its groups: many copies of one square belong to the other.
+    """
+    group = ["case_id", *within]
+    # The hash leads the sort; the coordinates themselves decide.
+    rows = poses.withColumn("__h", F.xxhash64(*[F.col(c) + 0.0 for c in coords]))
+    own = F.struct(F.col("pose_ord").alias("owner"), *[F.col(c).alias(f"owner_{c}") for c in carry])
+    first = F.min(F.struct("priority", "pose_ord", own.alias("own"))).over(W.partitionBy(*group, "__h", *coords))
+    rows = rows.withColumn("__f", first).drop("__h")
+    nodes = rows.filter("pose_ord = __f.pose_ord").select(*group, *coords, F.col("pose_ord").alias("node"), F.col("priority").alias("__p"), own.alias("own"))
+    cells = [
+        F.array_distinct(F.array(F.floor((F.col(c) - tolerance) / CELL_MM), F.floor((F.col(c) + tolerance) / CELL_MM)))
+        for c in coords[:3]
+    ]
+    near = nodes
+    for i, c in enumerate(cells):
+        near = near.withColumn(f"__k{i}", F.explode(c))
+    at = ["__k0", "__k1", "__k2"]
+    near = near.withColumn("__m", F.count(F.lit(1)).over(W.partitionBy(*group, *at))).filter("__m > 1").drop("__m", *at)
+    near = materialize(near, "near-squares", grows=True).distinct()
+    near = near.withColumn("rank", F.struct(F.col("__p").alias("p"), F.col("node").alias("o")))
+    rows = rows.withColumn("own", F.col("__f.own")).drop("__f")
+    if not near.isEmpty():
+        moved = first_kept(near, group, "node", "rank", coords, tolerance).filter("owner <> node")
+        kept = near.select(*group, F.col("node").alias("owner"), F.col("own").alias("to"))
+        moved = materialize(moved.join(kept, [*group, "owner"]).drop("owner"), "moved-squares")
+        rows = rows.withColumn("node", F.col("own.owner")).join(moved, [*group, "node"], "left")
+        rows = rows.withColumn("own", F.coalesce("to", "own")).drop("node", "to")
+    return rows.select(*[F.col(c) for c in poses.columns], "own.*")

@@ -339,12 +339,30 @@ def twins(spark, sf):
     return stage(spark, "twins", sf, build)
 
 
-def twin_poses(spark, sf):
+#: Points of a task, whose poses it sorts in memory; and of a cluster, beyond which its poses are shuffled.
+POINTS_PER_TASK, CROWD = 48, 96
+
+
+def resolved_twins(spark, sf, carry=()):
+    """All poses of coincident points with their owner and its ``carry`` columns."""
     t = twins(spark, sf).unionByName(
         frames(spark, sf).filter("not (organ = 'stomach' and yaw_policy = 'standard') and organ <> 'liver'"))
-    hot = D.coincident_points(t)
-    hit = t.join(materialize(hot, "coincident"), ["case_id", "organ", "point_index"], "left_semi")
-    return P.with_priority(P.with_identity(P.expand(hit, ("source_region",))))
+    hot = materialize(D.coincident_clusters(t), "coincident")
+    size = hot.groupBy("case_id", "cluster").agg(F.count(F.lit(1)).alias("n"))
+    hot = materialize(hot.join(size, ["case_id", "cluster"]), "coincident")
+    hit = t.join(hot, ["case_id", "organ", "point_index"])
+    square = P.VERTICES[6:] + P.VERTICES[:6]
+
+    def poses(points, **dealt):
+        return P.with_priority(P.with_identity(P.expand(points, ("source_region", "cluster"), **dealt)))
+
+    near = poses(hit.filter(F.col("n") <= CROWD), by=("case_id", "cluster"), tasks=-(-hot.count() // POINTS_PER_TASK))
+    found = D.resolve_in_place(near, square, K.DUPLICATE_TOLERANCE_MM, ["cluster"], carry)
+    if hot.filter(F.col("n") > CROWD).isEmpty():
+        return found
+    r = D.resolve_duplicates(poses(hit.filter(F.col("n") > CROWD)), square, K.DUPLICATE_TOLERANCE_MM)
+    kept = r.filter("owner = pose_ord").select("case_id", "owner", *[F.col(c).alias(f"owner_{c}") for c in carry])
+    return found.unionByName(r.join(kept, ["case_id", "owner"]) if carry else r, allowMissingColumns=True)
 
 
 @query("jn08_coincident_points", """
@@ -359,8 +377,7 @@ def jn08(spark, sf):
 SELECT case_id, organ, point_index, CASE WHEN organ = 'stomach' THEN 'kept' ELSE 'absorbed' END AS fate,
  3211 AS n, CASE WHEN organ = 'stomach' THEN 0 ELSE 3211 END AS n_same_angles FROM b_twin""")
 def top05(spark, sf):
-    p = twin_poses(spark, sf)
-    r = D.resolve_duplicates(p, P.VERTICES[6:] + P.VERTICES[:6], K.DUPLICATE_TOLERANCE_MM)
+    r = resolved_twins(spark, sf)
     fate = F.when(F.col("owner") == F.col("pose_ord"), "kept").otherwise("absorbed")
     same = (F.col("owner") != F.col("pose_ord")) & (F.col("owner") % 10_000 == F.col("pose_ord") % 10_000)
     return r.withColumn("fate", fate).groupBy("case_id", "organ", "point_index", "fate").agg(

@@ -508,18 +508,15 @@ def dangling(ref, files):
 
 # --- duplicate evidence ------------------------------------------------------------------------
 def evidence(spark, sf):
-    """(kept pose, absorbed pose) rows of the twin points, from the resolution."""
-    from .candidate_plans import twin_poses
+    """(kept pose, absorbed pose) rows of the twin points, from the resolution; rows of a cluster share a task."""
+    from .candidate_plans import resolved_twins
 
-    def build():
-        p = twin_poses(spark, sf)
-        r = D.resolve_duplicates(p, P.VERTICES[6:] + P.VERTICES[:6], K.DUPLICATE_TOLERANCE_MM)
-        lost = r.filter("owner <> pose_ord").select("case_id", "owner", F.col("slice_id").alias("absorbed_id"), F.col("pose_ord").alias("absorbed_ord"),
-                                                    F.col("source_region").alias("absorbed_region"), F.col("priority").alias("absorbed_priority"), F.col("v3x").alias("a3x"))
-        kept = r.filter("owner = pose_ord").select("case_id", "owner", "slice_id", "source_region", "priority", "v3x")
-        return lost.join(kept, ["case_id", "owner"])
-
-    return stage(spark, "evidence", sf, build)
+    r = resolved_twins(spark, sf, ("slice_id", "source_region", "priority", "v3x"))
+    return r.filter("owner <> pose_ord").select(
+        "case_id", "cluster", "owner", F.col("slice_id").alias("absorbed_id"), F.col("pose_ord").alias("absorbed_ord"),
+        F.col("source_region").alias("absorbed_region"), F.col("priority").alias("absorbed_priority"), F.col("v3x").alias("a3x"),
+        F.col("owner_slice_id").alias("slice_id"), F.col("owner_source_region").alias("source_region"),
+        F.col("owner_priority").alias("priority"), F.col("owner_v3x").alias("v3x"))
 
 
 @query("jn16_duplicate_evidence", """
@@ -527,7 +524,7 @@ SELECT kind, count(*) * 3211 // 3211 AS n_points FROM (SELECT unnest(['checked',
 def jn16(spark, sf):
     """Every absorbed pose resolves once, has its keeper's square and no better priority."""
     e = evidence(spark, sf)
-    per = e.groupBy("case_id", "absorbed_id").agg(
+    per = e.groupBy("case_id", "cluster", "absorbed_id").agg(
         F.count(F.lit(1)).alias("m"), F.max(F.abs(F.col("v3x") - F.col("a3x"))).alias("gap"),
         F.min(F.col("priority") <= F.col("absorbed_priority")).alias("pri"), F.min(F.col("source_region") != F.col("absorbed_region")).alias("reg"))
     per = per.withColumn("point", F.substring_index("absorbed_id", "-", 2))
@@ -542,9 +539,11 @@ def jn16(spark, sf):
 @query("set05_absorbed_not_retained", """
 SELECT CAST(0 AS BIGINT) AS n_overlap, count(*) * 3211 AS n_absorbed FROM b_twin WHERE organ = 'liver'""")
 def set05(spark, sf):
-    e = evidence(spark, sf)
-    both = e.select("case_id", F.col("absorbed_id").alias("slice_id")).intersect(e.select("case_id", "slice_id"))
-    return both.agg(F.count(F.lit(1)).alias("n_overlap")).crossJoin(e.agg(F.count(F.lit(1)).alias("n_absorbed")))
+    """Identifiers that are absorbed and kept at once, and the number of absorbed rows."""
+    ids = evidence(spark, sf).select("case_id", "cluster", F.explode(F.array(
+        F.struct(F.col("absorbed_id").alias("slice_id"), F.lit(1).alias("lost")), F.struct("slice_id", F.lit(0).alias("lost")))).alias("i"))
+    per = ids.groupBy("case_id", "cluster", "i.slice_id").agg(F.sum("i.lost").alias("n"), F.min("i.lost").alias("low"))
+    return per.agg(F.count_if((F.col("n") > 0) & (F.col("low") == 0)).alias("n_overlap"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_absorbed"))
 
 
 @query("top06_canonical_order", """
