@@ -11,7 +11,7 @@ from ..session import materialize, stage
 from ..sources import bridges as B
 from .catalog import cte, query
 from .oracle import r6 as s6
-from .pose_plans import frames
+from .pose_plans import POINTS_PER_TASK, frames
 
 cte("b_extreme", """
 SELECT case_id, min(x) FILTER (model_id = 'liver') AS liver_min_x, max(y) FILTER (model_id = 'liver') AS liver_max_y,
@@ -339,8 +339,8 @@ def twins(spark, sf):
     return stage(spark, "twins", sf, build)
 
 
-#: Points of a task, whose poses it sorts in memory; and of a cluster, beyond which its poses are shuffled.
-POINTS_PER_TASK, CROWD = 48, 96
+#: Points of a cluster, beyond which its poses are shuffled.
+CROWD = 96
 
 
 def resolved_twins(spark, sf, carry=()):

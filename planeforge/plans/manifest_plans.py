@@ -13,7 +13,7 @@ from ..sources import bridges as B
 from ..sources.tables import table
 from .catalog import cte, query
 from .oracle import lst, pose_id_sql, r6 as s6
-from .pose_plans import all_poses, frames
+from .pose_plans import POINTS_PER_TASK, all_poses, frames
 
 KEY = ["case_id", "slice_id"]
 
@@ -386,7 +386,8 @@ def top07(spark, sf):
 SELECT kind, count(*) AS n FROM (SELECT unnest([CASE WHEN (point_index * 7 + ang_ord) % 997 = 0 THEN 'v3x' END, CASE WHEN (point_index * 7 + ang_ord) % 1499 = 0 THEN 'yaw_policy' END,
  CASE WHEN (point_index * 7 + ang_ord) % 2003 = 0 THEN 'build_git_commit' END]) AS kind FROM b_pose) WHERE kind IS NOT NULL GROUP BY kind""")
 def jn13(spark, sf):
-    plan = all_poses(spark, sf)
+    f = frames(spark, sf)
+    plan = P.expand(f, tasks=-(-f.count() // POINTS_PER_TASK))
     h = F.col("point_index") * 7 + F.col("ang_ord")
     fin = plan.select(*["case_id", *POSE], F.when(h % 1499 == 0, "none").otherwise(F.col("yaw_policy")).alias("yaw_policy"),
                       (F.col("v3x") + F.when(h % 997 == 0, 1e-3).otherwise(0.0)).alias("v3x"), "v1y", "v2z",

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from planeforge.operators import dedup as D
+from planeforge.operators import dedup as D, manifest as MF
 
 
 def squares(spark):
@@ -36,3 +36,15 @@ def test_points_at_a_cell_wall_link_their_clusters(spark):
     p = spark.createDataFrame(rows, "case_id int, organ string, point_index int, x double, y double, z double")
     c = {r["point_index"]: r["cluster"] for r in D.coincident_clusters(p).collect()}
     assert set(c) == {0, 1, 2, 3, 4} and c[0] == c[1] == c[2] and c[3] == c[4] != c[0]
+
+
+def test_planned_and_finished_rows_meet_without_an_exchange(spark):
+    key = ["case_id", "point", "roll"]
+    plan = spark.range(40).select(F.lit(0).alias("case_id"), (F.col("id") % 4).alias("point"), F.col("id").alias("roll"), (F.col("id") * 0.5).alias("v"))
+    plan = plan.repartition(5, "case_id", "point")
+    done = plan.filter("roll <> 7").withColumns({"v": F.when(F.col("roll") == 8, -1.0).otherwise(F.col("v")), "build_git_commit": F.when(F.col("roll") == 9, "bad").otherwise("good")})
+    stray = done.filter("roll = 3").withColumn("roll", F.lit(99).cast("long"))
+    m = MF.field_mismatches(plan, done, key, ["v"], allowed_commits=["good"])
+    assert m._jdf.queryExecution().executedPlan().toString().count("Exchange") == 2  # of the points, on either side
+    found = {r["roll"]: r["mismatches"] for r in MF.field_mismatches(plan, done.unionByName(stray), key, ["v"], allowed_commits=["good"]).collect()}
+    assert len(found) == 39 and {k: v for k, v in found.items() if v} == {8: ["v"], 9: ["build_git_commit"]}
