@@ -1,8 +1,11 @@
 """Cases of the fourth review: work that stays in its task, and the same rows as before."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from planeforge.operators import dedup as D, manifest as MF
+from planeforge.plans.registry import QUERIES
 
 
 def squares(spark):
@@ -48,3 +51,9 @@ def test_planned_and_finished_rows_meet_without_an_exchange(spark):
     assert m._jdf.queryExecution().executedPlan().toString().count("Exchange") == 2  # of the points, on either side
     found = {r["roll"]: r["mismatches"] for r in MF.field_mismatches(plan, done.unionByName(stray), key, ["v"], allowed_commits=["good"]).collect()}
     assert len(found) == 39 and {k: v for k, v in found.items() if v} == {8: ["v"], 9: ["build_git_commit"]}
+
+
+def test_pixels_meet_voxels_and_cells_by_shuffle(spark):
+    q = QUERIES["jn22_block_path_agrees"](spark, "/root/testdata/sf0.001")
+    joins = [x for x in q._jdf.queryExecution().executedPlan().toString().splitlines() if re.search(r"Join \[[^\]]*\bx#", x)]
+    assert len(joins) == 2 and all("SortMergeJoin" in x for x in joins)
