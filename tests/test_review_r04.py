@@ -57,3 +57,14 @@ def test_pixels_meet_voxels_and_cells_by_shuffle(spark):
     q = QUERIES["jn22_block_path_agrees"](spark, "/root/testdata/sf0.001")
     joins = [x for x in q._jdf.queryExecution().executedPlan().toString().splitlines() if re.search(r"Join \[[^\]]*\bx#", x)]
     assert len(joins) == 2 and all("SortMergeJoin" in x for x in joins)
+
+
+def test_queries_run_compiled_methods_in_any_session(spark):
+    key = "spark.sql.codegen.hugeMethodLimit"
+    other = spark.newSession()
+    other.conf.set(key, "65535")  # Spark's default
+    QUERIES["prj05_square_frame"](other, "/root/testdata/sf0.001")
+    assert other.conf.get(key) == "8000"
+    other.conf.set(key, "20000")
+    QUERIES["prj05_square_frame"](other, "/root/testdata/sf0.001")
+    assert other.conf.get(key) == "20000"
