@@ -138,19 +138,29 @@ SELECT plane_id, {s6("greatest(ba, bb)", "black_side")}, {s6("least(ba, bb)", "v
  FROM (SELECT plane_id, gray, (99.0::DOUBLE * (row_ - (plane_id % 100)) - (plane_id % 7) * (col_ - 0)) / sqrt(99.0::DOUBLE * 99.0 + (plane_id % 7) ** 2) AS d FROM b_border)
  GROUP BY plane_id) WHERE sa >= 0.1 AND sb >= 0.1""")
 def agg16(spark, sf):
-    """Side shares of a sloping test line of every raster, in the row with higher-order functions."""
-    n = B.BORDER_SIDE
-    p = B.border_planes(spark, sf).select("plane_id", "px", (F.col("plane_id") % 100).alias("y1"), (F.col("plane_id") % 7).alias("dy"))
-    d = F.expr(f"transform(sequence(0, {n * n - 1}), i -> (99.0D * ((i div {n}) - y1) - dy * (i % {n})) / sqrt(9801.0D + dy * dy))")
-    p = p.withColumn("z", F.arrays_zip(F.col("px").alias("p"), d.alias("d")))
+    """Side shares of a sloping test line of every raster."""
+    import numpy as np
+    import pandas as pd
 
-    def share(side):
-        near = F.filter("z", lambda s: side(s["d"]))
-        return F.size(near) / F.lit(float(n * n)), F.size(F.filter(near, lambda s: s["p"] < K.BLACK_THRESHOLD)) / F.size(near)
+    n = B.BORDER_SIDE
+    row, col = np.indices((n, n))
 
-    (sa, ba), (sb, bb) = share(lambda d: d > 1.5), share(lambda d: d < -1.5)
-    p = p.withColumns({"sa": sa, "sb": sb}).filter("sa >= 0.1 and sb >= 0.1").withColumns({"ba": ba, "bb": bb})
-    return p.select("plane_id", r6(F.greatest("ba", "bb")).alias("black_side"), r6(F.least("ba", "bb")).alias("valid_side"))
+    def run(batches):
+        for pdf in batches:
+            out = []
+            for plane, px in zip(pdf["plane_id"], pdf["px"]):
+                dy = plane % 7
+                d = ((99.0 * (row - plane % 100) - dy * col) / np.sqrt(9801.0 + dy * dy)).ravel()
+                black = np.asarray(px) < K.BLACK_THRESHOLD
+                sides = [d > 1.5, d < -1.5]
+                sizes = [int(side.sum()) for side in sides]
+                if min(sizes) / float(n * n) >= 0.1:
+                    shares = [int((side & black).sum()) / size for side, size in zip(sides, sizes)]
+                    out.append((plane, max(shares), min(shares)))
+            yield pd.DataFrame(out, columns=["plane_id", "black_side", "valid_side"])
+
+    p = B.border_planes(spark, sf).select("plane_id", "px").mapInPandas(run, "plane_id long, black_side double, valid_side double")
+    return p.select("plane_id", *[r6(F.col(c)).alias(c) for c in ("black_side", "valid_side")])
 
 
 _ALIGN = """
